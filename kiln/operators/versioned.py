@@ -1,0 +1,390 @@
+"""Versioned Parquet tables: schema-checked appends, update, delete, upsert,
+history and time travel, built from ordinary Spark jobs.
+
+Layout under the table root (any filesystem Spark can write)::
+
+    <root>/data/<write-id>/part-*.parquet     one directory per write
+    <root>/_log/<version, 20 digits>/*.json   one commit record per version
+
+A commit record lists the table's schema (JSON) and every data file of that
+version.  Reading version ``v`` is ``spark.read.schema(s).parquet(*files)``:
+columns added later read as NULL from older files, so schema evolution needs
+no rewrite.  Mutations are copy-on-write at file granularity: a job first
+finds the files that hold affected rows (one distributed pass that returns
+file names only), rewrites just those files, and the new version lists the
+untouched files plus the rewritten ones.  Old versions stay readable because
+no file is ever changed or removed.
+
+A commit is the last step: data files without a commit record are invisible.
+The commit record is written with ``errorifexists``, so two writers racing
+for the same version cannot both win; one writer at a time is the supported
+use.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import json
+import uuid
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    LongType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+# Operation names recorded in the history.
+OP_WRITE = "WRITE"
+OP_UPDATE = "UPDATE"
+OP_DELETE = "DELETE"
+OP_MERGE = "MERGE"
+OP_STREAM = "STREAMING UPDATE"
+
+LOG_SCHEMA = StructType(
+    [
+        StructField("version", LongType()),
+        StructField("timestamp", TimestampType()),
+        StructField("operation", StringType()),
+        StructField("schema_json", StringType()),
+        StructField("files", ArrayType(StringType())),
+        StructField("num_added_files", LongType()),
+        StructField("num_removed_files", LongType()),
+        StructField("stream_id", StringType()),
+        StructField("batch_id", LongType()),
+    ]
+)
+
+_FILE = "__kiln_file"
+
+
+class TableError(Exception):
+    pass
+
+
+class SchemaMismatchError(TableError):
+    """An append whose columns or types do not fit the table schema."""
+
+
+class MergeConflictError(TableError):
+    """Several source rows match the same target row."""
+
+
+class ConcurrentCommitError(TableError):
+    """Another writer committed the same version first."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    schema: StructType
+    files: tuple[str, ...]
+
+
+def _as_col(cond: Column | str) -> Column:
+    return F.expr(cond) if isinstance(cond, str) else cond
+
+
+def _key(name: str) -> str:
+    return name.lower()
+
+
+class SnapshotTable:
+    """A versioned table at ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ------------------------------------------------------------ opening
+
+    @classmethod
+    def for_path(cls, spark: SparkSession, root: str) -> "SnapshotTable":
+        t = cls(spark, root)
+        if not t.exists():
+            raise TableError(f"no versioned table at {root}")
+        return t
+
+    @classmethod
+    def write(
+        cls,
+        df: DataFrame,
+        root: str,
+        *,
+        mode: str = "overwrite",
+        overwrite_schema: bool = False,
+    ) -> "SnapshotTable":
+        """Create the table, or publish ``df`` as its new content.
+
+        ``mode`` is ``overwrite``, ``append`` or ``errorifexists``.
+        """
+        t = cls(df.sparkSession, root)
+        if not t.exists():
+            t._commit(0, OP_WRITE, df.schema, t._write_files(df), added=None, removed=0)
+            return t
+        if mode == "errorifexists":
+            raise TableError(f"table already exists at {root}")
+        if mode == "append":
+            t.append(df)
+            return t
+        snap = t.snapshot()
+        if not overwrite_schema and not _same_schema(snap.schema, df.schema):
+            raise SchemaMismatchError("overwrite with a different schema needs overwrite_schema=True")
+        files = t._write_files(df)
+        t._commit(snap.version + 1, OP_WRITE, df.schema, files, added=len(files), removed=len(snap.files))
+        return t
+
+    # ------------------------------------------------------------ metadata
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(f"{self.root}/_log")
+
+    def exists(self) -> bool:
+        try:
+            return self._log().limit(1).count() > 0
+        except Exception:
+            return False
+
+    def latest_version(self) -> int:
+        return int(self._log().agg(F.max("version")).first()[0])
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        log = self._log()
+        if version is None:
+            row = log.orderBy(F.col("version").desc()).select("version", "schema_json", "files").first()
+        else:
+            row = log.where(F.col("version") == version).select("version", "schema_json", "files").first()
+        if row is None:
+            raise TableError(f"version {version} not found at {self.root}")
+        schema = StructType.fromJson(json.loads(row["schema_json"]))
+        return Snapshot(int(row["version"]), schema, tuple(row["files"] or ()))
+
+    def schema(self, version: int | None = None) -> StructType:
+        return self.snapshot(version).schema
+
+    def history(self, limit: int | None = None) -> DataFrame:
+        """Commits, newest first: version, timestamp, operation and file counts."""
+        h = self._log().select(
+            "version", "timestamp", "operation", "num_added_files", "num_removed_files", "stream_id", "batch_id"
+        )
+        h = h.orderBy(F.col("version").desc())
+        return h.limit(limit) if limit is not None else h
+
+    # ------------------------------------------------------------ reading
+
+    def _scan(self, schema: StructType, files) -> DataFrame:
+        files = list(files)
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*files)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as of ``version`` (default: latest)."""
+        snap = self.snapshot(version)
+        return self._scan(snap.schema, snap.files)
+
+    def alias(self, name: str) -> DataFrame:
+        return self.read().alias(name)
+
+    # ------------------------------------------------------------ writing
+
+    def _write_files(self, df: DataFrame) -> list[str]:
+        out = f"{self.root}/data/{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(out)
+        return list(self.spark.read.parquet(out).inputFiles())
+
+    def _commit(
+        self,
+        version: int,
+        operation: str,
+        schema: StructType,
+        files: list[str],
+        *,
+        added: int | None,
+        removed: int,
+        stream_id: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
+        rec = (
+            version,
+            _dt.datetime.now(),
+            operation,
+            schema.json(),
+            list(files),
+            len(files) if added is None else added,
+            removed,
+            stream_id,
+            batch_id,
+        )
+        path = f"{self.root}/_log/{version:020d}"
+        try:
+            self.spark.createDataFrame([rec], LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
+        except Exception as e:  # path exists: someone else committed this version
+            if "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e):
+                raise ConcurrentCommitError(f"version {version} of {self.root} was committed concurrently") from e
+            raise
+        return version
+
+    def _files_where(self, df: DataFrame, cond: Column) -> list[str]:
+        """Names of the files holding at least one row where ``cond`` is true."""
+        rows = df.withColumn(_FILE, F.input_file_name()).where(cond).select(_FILE).distinct().collect()
+        return [r[0] for r in rows]
+
+    def append(
+        self,
+        df: DataFrame,
+        *,
+        merge_schema: bool = False,
+        operation: str = OP_WRITE,
+        stream_id: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
+        """Append rows; returns the new version.
+
+        The schema is enforced: a column the table lacks or a changed type
+        raises :class:`SchemaMismatchError` before anything is written.  With
+        ``merge_schema`` new columns are added at the end (older rows read
+        them as NULL).  Columns the batch lacks are written as NULL.  With a
+        ``(stream_id, batch_id)`` pair the append is idempotent: a batch that
+        is already committed is skipped and the current version returned.
+        """
+        snap = self.snapshot()
+        if stream_id is not None and batch_id is not None:
+            done = (
+                self._log()
+                .where((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id))
+                .limit(1)
+                .count()
+            )
+            if done:
+                return snap.version
+        new_schema = _append_schema(snap.schema, df.schema, merge_schema)
+        files = self._write_files(_align(df, new_schema))
+        return self._commit(
+            snap.version + 1,
+            operation,
+            new_schema,
+            list(snap.files) + files,
+            added=len(files),
+            removed=0,
+            stream_id=stream_id,
+            batch_id=batch_id,
+        )
+
+    def update(self, condition: Column | str, assignments: Mapping[str, Column | str]) -> int:
+        """``UPDATE ... SET col = expr WHERE condition``; rows where the
+        condition is false or NULL keep their values.  All assignments read
+        the old row.  Returns the new version (unchanged when no row matches).
+        """
+        snap = self.snapshot()
+        cond = _as_col(condition)
+        names = {_key(f.name): f.name for f in snap.schema.fields}
+        missing = [c for c in assignments if _key(c) not in names]
+        if missing:
+            raise SchemaMismatchError(f"update sets unknown columns {missing}")
+        touched = self._files_where(self._scan(snap.schema, snap.files), cond)
+        if not touched:
+            return snap.version
+        rows = self._scan(snap.schema, touched)
+        sets = {
+            names[_key(c)]: F.when(cond, _as_col(v).cast(snap.schema[names[_key(c)]].dataType)).otherwise(
+                F.col(names[_key(c)])
+            )
+            for c, v in assignments.items()
+        }
+        new_files = self._write_files(rows.withColumns(sets))
+        keep = [f for f in snap.files if f not in set(touched)]
+        return self._commit(
+            snap.version + 1, OP_UPDATE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+        )
+
+    def delete(self, condition: Column | str) -> int:
+        """``DELETE WHERE condition``: only rows where it is true go; a NULL
+        outcome keeps the row.  Returns the new version."""
+        snap = self.snapshot()
+        cond = _as_col(condition)
+        touched = self._files_where(self._scan(snap.schema, snap.files), cond)
+        if not touched:
+            return snap.version
+        rows = self._scan(snap.schema, touched).where(~F.coalesce(cond, F.lit(False)))
+        new_files = self._write_files(rows)
+        keep = [f for f in snap.files if f not in set(touched)]
+        return self._commit(
+            snap.version + 1, OP_DELETE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+        )
+
+    def merge_upsert(self, source: DataFrame, key: str) -> int:
+        """Merge on ``target.key = source.key``: matched target rows are
+        replaced by their source row (update all), unmatched source rows are
+        inserted (insert all).  NULL keys never match.  Two source rows
+        matching one target row raise :class:`MergeConflictError`.
+
+        Plan: one pass joins target keys (with their file names) to the
+        source's per-key row counts; it yields the touched files and the
+        conflict check together.  Then only touched files are rewritten as
+        ``touched LEFT ANTI source-keys UNION source``.
+        """
+        snap = self.snapshot()
+        names = {_key(f.name): f.name for f in snap.schema.fields}
+        extra = [c for c in source.columns if _key(c) not in names]
+        if extra:
+            raise SchemaMismatchError(f"merge source has columns the table lacks: {extra}")
+        missing = [f.name for f in snap.schema.fields if _key(f.name) not in {_key(c) for c in source.columns}]
+        if missing:
+            raise SchemaMismatchError(f"merge source lacks table columns {missing} (update all needs every column)")
+        tkey = names[_key(key)]
+        src = _align(source, snap.schema)
+        src_counts = src.where(F.col(tkey).isNotNull()).groupBy(tkey).agg(F.count(F.lit(1)).alias("__n"))
+        target = self._scan(snap.schema, snap.files).select(tkey, F.input_file_name().alias(_FILE))
+        per_file = target.join(src_counts, tkey, "inner").groupBy(_FILE).agg(F.max("__n").alias("__n")).collect()
+        if any(r["__n"] > 1 for r in per_file):
+            raise MergeConflictError("several source rows match the same target row")
+        touched = [r[_FILE] for r in per_file]
+        kept = self._scan(snap.schema, touched).join(src.select(tkey).where(F.col(tkey).isNotNull()), tkey, "left_anti")
+        new_files = self._write_files(kept.unionByName(src))
+        keep = [f for f in snap.files if f not in set(touched)]
+        return self._commit(
+            snap.version + 1, OP_MERGE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+        )
+
+
+def _same_schema(a: StructType, b: StructType) -> bool:
+    return [(_key(f.name), f.dataType) for f in a.fields] == [(_key(f.name), f.dataType) for f in b.fields]
+
+
+def _append_schema(table: StructType, incoming: StructType, merge_schema: bool) -> StructType:
+    have = {_key(f.name): f for f in table.fields}
+    retyped = [
+        f.name
+        for f in incoming.fields
+        if _key(f.name) in have
+        and have[_key(f.name)].dataType != f.dataType
+        and not isinstance(f.dataType, NullType)
+    ]
+    if retyped:
+        raise SchemaMismatchError(f"append changes the type of {retyped}")
+    extra = [f for f in incoming.fields if _key(f.name) not in have]
+    if extra and not merge_schema:
+        raise SchemaMismatchError(
+            f"append has columns the table lacks: {[f.name for f in extra]} (use merge_schema=True to add them)"
+        )
+    return StructType(list(table.fields) + [StructField(f.name, f.dataType, True) for f in extra])
+
+
+def _align(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with exactly ``schema``'s columns (missing ones NULL), in order."""
+    have = {_key(c): c for c in df.columns}
+    cols = []
+    for f in schema.fields:
+        if _key(f.name) in have:
+            cols.append(F.col(have[_key(f.name)]).cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
