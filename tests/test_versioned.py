@@ -1,0 +1,150 @@
+"""Versioned table: enforcement, evolution, DML rules and version invariants."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kiln.operators.versioned import (
+    ConcurrentCommitError,
+    MergeConflictError,
+    SchemaMismatchError,
+    SnapshotTable,
+    TableError,
+)
+
+SCHEMA = "loan_id long, funded_amnt int, paid_amnt double, addr_state string"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture()
+def table(spark, scratch):
+    base = spark.createDataFrame(
+        [(1, 100, 100.0, "OR"), (2, 100, 50.0, "CA"), (3, 100, None, "OR"), (4, 200, 300.0, "TX")], SCHEMA
+    ).repartition(2)
+    return SnapshotTable.write(base, scratch)
+
+
+def test_create_and_read(table):
+    assert table.latest_version() == 0
+    assert table.read().count() == 4
+    assert [r["operation"] for r in table.history().collect()] == ["WRITE"]
+
+
+def test_rejected_append_changes_nothing(spark, table):
+    extra = spark.createDataFrame([(9, 1, 1.0, "TX", True)], SCHEMA + ", closed boolean")
+    with pytest.raises(SchemaMismatchError):
+        table.append(extra)
+    retyped = spark.createDataFrame([(9, "x", 1.0, "TX")], "loan_id long, funded_amnt string, paid_amnt double, addr_state string")
+    with pytest.raises(SchemaMismatchError):
+        table.append(retyped)
+    assert table.latest_version() == 0 and table.read().count() == 4
+
+
+def test_evolving_append_and_missing_columns(spark, table):
+    extra = spark.createDataFrame([(9, 1, 1.0, "TX", True)], SCHEMA + ", closed boolean")
+    v = table.append(extra, merge_schema=True)
+    assert v == 1
+    got = {r["loan_id"]: r["closed"] for r in table.read().collect()}
+    assert got == {1: None, 2: None, 3: None, 4: None, 9: True}
+    # old version keeps the old schema
+    assert table.read(0).columns == ["loan_id", "funded_amnt", "paid_amnt", "addr_state"]
+    # a batch lacking a column gets NULL there
+    table.append(spark.createDataFrame([(10, "WA")], "loan_id long, addr_state string"))
+    r = table.read().where("loan_id = 10").first()
+    assert r["funded_amnt"] is None and r["closed"] is None and r["addr_state"] == "WA"
+
+
+def test_update_three_valued(table):
+    table.update(F.col("paid_amnt") > 60, {"addr_state": F.lit("HI")})
+    got = {r["loan_id"]: r["addr_state"] for r in table.read().collect()}
+    assert got == {1: "HI", 2: "CA", 3: "OR", 4: "HI"}  # NULL predicate keeps the row as is
+
+
+def test_update_assignments_read_old_row(table):
+    table.update("addr_state = 'OR'", {"addr_state": F.lit("WA"), "funded_amnt": F.col("funded_amnt") + 1})
+    got = {r["loan_id"]: (r["addr_state"], r["funded_amnt"]) for r in table.read().collect()}
+    assert got[1] == ("WA", 101) and got[3] == ("WA", 101) and got[2] == ("CA", 100)
+
+
+def test_update_no_match_commits_nothing(table):
+    assert table.update("addr_state = 'ZZ'", {"addr_state": F.lit("X")}) == 0
+    assert table.latest_version() == 0
+
+
+def test_delete_null_predicate_keeps_row(table):
+    table.delete("funded_amnt >= paid_amnt")
+    assert sorted(r["loan_id"] for r in table.read().collect()) == [3, 4]
+    assert table.read(0).count() == 4  # time travel still sees all rows
+
+
+def test_merge_upsert_rules(spark, table):
+    src = spark.createDataFrame(
+        [(1, 7, 7.0, "NEW"), (None, 8, 8.0, "NULLKEY"), (50, 9, 9.0, "INS")], SCHEMA
+    )
+    table.merge_upsert(src, "loan_id")
+    got = rows(table.read())
+    assert (1, 7, 7.0, "NEW") in got and (50, 9, 9.0, "INS") in got and (None, 8, 8.0, "NULLKEY") in got
+    assert len(got) == 6 and not any(r[0] == 1 and r[3] == "OR" for r in got)
+
+
+def test_merge_null_key_target_row_stays(spark, scratch):
+    t = SnapshotTable.write(spark.createDataFrame([(None, 1, 1.0, "T")], SCHEMA), scratch)
+    t.merge_upsert(spark.createDataFrame([(None, 2, 2.0, "S")], SCHEMA), "loan_id")
+    assert rows(t.read()) == [(None, 1, 1.0, "T"), (None, 2, 2.0, "S")]
+
+
+def test_merge_duplicate_source_keys(spark, table):
+    dup_matched = spark.createDataFrame([(1, 7, 7.0, "A"), (1, 8, 8.0, "B")], SCHEMA)
+    with pytest.raises(MergeConflictError):
+        table.merge_upsert(dup_matched, "loan_id")
+    assert table.latest_version() == 0
+    # duplicates that match nothing are both inserted, as an insert-all would
+    dup_unmatched = spark.createDataFrame([(70, 7, 7.0, "A"), (70, 8, 8.0, "B")], SCHEMA)
+    table.merge_upsert(dup_unmatched, "loan_id")
+    assert table.read().where("loan_id = 70").count() == 2
+
+
+def test_merge_rewrites_only_touched_files(spark, scratch):
+    base = spark.range(0, 1000).selectExpr("id AS loan_id", "1 AS funded_amnt", "1.0 AS paid_amnt", "'X' AS addr_state")
+    t = SnapshotTable.write(base.repartition(10), scratch)
+    before = set(t.snapshot().files)
+    src = spark.createDataFrame([(5, 2, 2.0, "Y")], "loan_id long, funded_amnt int, paid_amnt double, addr_state string")
+    t.merge_upsert(src, "loan_id")
+    after = set(t.snapshot().files)
+    assert len(before - after) == 1  # one file held key 5
+    assert t.read().count() == 1000 and t.read().where("loan_id = 5").first()["addr_state"] == "Y"
+
+
+def test_history_and_time_travel(spark, table):
+    table.append(spark.createDataFrame([(5, 1, 1.0, "OR")], SCHEMA))
+    table.update("addr_state = 'OR'", {"addr_state": F.lit("WA")})
+    table.delete("funded_amnt >= paid_amnt")
+    h = table.history(3).collect()
+    assert [(r["version"], r["operation"]) for r in h] == [(3, "DELETE"), (2, "UPDATE"), (1, "WRITE")]
+    counts = [table.read(v).count() for v in range(4)]
+    assert counts == [4, 5, 5, 2]
+    with pytest.raises(TableError):
+        table.read(99)
+
+
+def test_concurrent_commit_detected(spark, table):
+    other = SnapshotTable.for_path(spark, table.root)
+    table.append(spark.createDataFrame([(5, 1, 1.0, "OR")], SCHEMA))
+    stale = other.snapshot(0)
+    with pytest.raises(ConcurrentCommitError):
+        other._commit(1, "WRITE", stale.schema, list(stale.files), added=0, removed=0)
+
+
+def test_uncommitted_data_is_invisible(spark, table):
+    table._write_files(spark.createDataFrame([(99, 1, 1.0, "ZZ")], SCHEMA))  # crash before commit
+    assert table.read().where("loan_id = 99").count() == 0
+
+
+def test_empty_table_and_delete_all(spark, scratch):
+    t = SnapshotTable.write(spark.createDataFrame([], SCHEMA), scratch)
+    assert t.read().count() == 0
+    t.append(spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA))
+    t.delete(F.lit(True))
+    assert t.read().count() == 0 and t.read(1).count() == 1
