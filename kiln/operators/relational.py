@@ -29,6 +29,21 @@ def group_sum(df: DataFrame, keys: Sequence[str], value: str, alias: str, *, des
     return out.orderBy(order, *_cols(keys))
 
 
+def sort_spread(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Global ``ORDER BY`` that stays balanced when a few keys hold most rows.
+
+    A global sort range-partitions on its keys, and every row with equal keys
+    goes to the same task: a key holding a third of the rows would be sorted
+    by one task.  A final unique key (``monotonically_increasing_id``) lets
+    range bounds fall inside a run of equal keys, so the run is split across
+    tasks.  Rows tied on the caller's keys may come in any order under ORDER
+    BY, so the result is still a valid sort.  The id is computed in the scan
+    stage right before the exchange; for file input it is the same on a retry.
+    Sorts that already end in a unique key do not need this.
+    """
+    return df.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order], F.monotonically_increasing_id())
+
+
 def group_count(df: DataFrame, key: str, *, not_null: bool = True) -> DataFrame:
     """Rows per key (column ``count``)."""
     if not_null:

@@ -63,6 +63,7 @@ LOG_SCHEMA = StructType(
 )
 
 _FILE = "__kiln_file"
+_APPEND_RETRIES = 5
 
 
 class TableError(Exception):
@@ -102,6 +103,17 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Latest snapshot seen or committed through this handle.  Writers
+        # start from it; a commit that races another writer fails on the
+        # version directory, so a stale cache can never overwrite a version.
+        self._latest: Snapshot | None = None
+        self._stream_batches: set[tuple[str, int]] | None = None
+
+    def refresh(self) -> "SnapshotTable":
+        """Forget cached metadata; the next call reads the commit log."""
+        self._latest = None
+        self._stream_batches = None
+        return self
 
     # ------------------------------------------------------------ opening
 
@@ -153,18 +165,29 @@ class SnapshotTable:
             return False
 
     def latest_version(self) -> int:
-        return int(self._log().agg(F.max("version")).first()[0])
+        return self.snapshot().version
 
     def snapshot(self, version: int | None = None) -> Snapshot:
-        log = self._log()
-        if version is None:
-            row = log.orderBy(F.col("version").desc()).select("version", "schema_json", "files").first()
-        else:
-            row = log.where(F.col("version") == version).select("version", "schema_json", "files").first()
+        """Metadata of ``version`` (default: the latest known to this handle)."""
+        if version is None and self._latest is not None:
+            return self._latest
+        if version is not None and self._latest is not None and version == self._latest.version:
+            return self._latest
+        try:
+            log = self._log()
+            if version is None:
+                row = log.orderBy(F.col("version").desc()).select("version", "schema_json", "files").first()
+            else:
+                row = log.where(F.col("version") == version).select("version", "schema_json", "files").first()
+        except Exception as e:
+            raise TableError(f"no versioned table at {self.root}") from e
         if row is None:
             raise TableError(f"version {version} not found at {self.root}")
         schema = StructType.fromJson(json.loads(row["schema_json"]))
-        return Snapshot(int(row["version"]), schema, tuple(row["files"] or ()))
+        snap = Snapshot(int(row["version"]), schema, tuple(row["files"] or ()))
+        if version is None:
+            self._latest = snap
+        return snap
 
     def schema(self, version: int | None = None) -> StructType:
         return self.snapshot(version).schema
@@ -198,7 +221,8 @@ class SnapshotTable:
     def _write_files(self, df: DataFrame) -> list[str]:
         out = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(out)
-        return list(self.spark.read.parquet(out).inputFiles())
+        # listing only: with the schema given no file footer is read
+        return list(self.spark.read.schema(df.schema).parquet(out).inputFiles())
 
     def _commit(
         self,
@@ -228,10 +252,20 @@ class SnapshotTable:
             self.spark.createDataFrame([rec], LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
         except Exception as e:  # path exists: someone else committed this version
             if "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e):
+                self.refresh()
                 raise ConcurrentCommitError(f"version {version} of {self.root} was committed concurrently") from e
             raise
+        self._latest = Snapshot(version, schema, tuple(files))
+        if stream_id is not None and batch_id is not None and self._stream_batches is not None:
+            self._stream_batches.add((stream_id, int(batch_id)))
         return version
 
+    def _batch_committed(self, stream_id: str, batch_id: int) -> bool:
+        if self._stream_batches is None:
+            done = self._log().where(F.col("stream_id").isNotNull()).select("stream_id", "batch_id").collect()
+            self._stream_batches = {(r[0], int(r[1])) for r in done}
+        return (stream_id, int(batch_id)) in self._stream_batches
+
     def _files_where(self, df: DataFrame, cond: Column) -> list[str]:
         """Names of the files holding at least one row where ``cond`` is true."""
         rows = df.withColumn(_FILE, F.input_file_name()).where(cond).select(_FILE).distinct().collect()
@@ -256,27 +290,32 @@ class SnapshotTable:
         is already committed is skipped and the current version returned.
         """
         snap = self.snapshot()
-        if stream_id is not None and batch_id is not None:
-            done = (
-                self._log()
-                .where((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id))
-                .limit(1)
-                .count()
-            )
-            if done:
-                return snap.version
+        if stream_id is not None and batch_id is not None and self._batch_committed(stream_id, batch_id):
+            return snap.version
         new_schema = _append_schema(snap.schema, df.schema, merge_schema)
         files = self._write_files(_align(df, new_schema))
-        return self._commit(
-            snap.version + 1,
-            operation,
-            new_schema,
-            list(snap.files) + files,
-            added=len(files),
-            removed=0,
-            stream_id=stream_id,
-            batch_id=batch_id,
-        )
+        # A blind append does not depend on the rows it did not read, so a
+        # lost commit race is retried on the newer snapshot with the same
+        # data files (after re-checking the schema and the batch id).
+        for _ in range(_APPEND_RETRIES):
+            try:
+                return self._commit(
+                    snap.version + 1,
+                    operation,
+                    new_schema,
+                    list(snap.files) + files,
+                    added=len(files),
+                    removed=0,
+                    stream_id=stream_id,
+                    batch_id=batch_id,
+                )
+            except ConcurrentCommitError:
+                snap = self.snapshot()
+                if stream_id is not None and batch_id is not None and self._batch_committed(stream_id, batch_id):
+                    return snap.version
+                if _append_schema(snap.schema, new_schema, merge_schema) != new_schema:
+                    raise
+        raise ConcurrentCommitError(f"append to {self.root} lost {_APPEND_RETRIES} commit races")
 
     def update(self, condition: Column | str, assignments: Mapping[str, Column | str]) -> int:
         """``UPDATE ... SET col = expr WHERE condition``; rows where the

@@ -243,3 +243,42 @@ def test_no_python_udfs_anywhere(spark):
 def test_like_prefix_becomes_startswith(spark):
     text = formatted(E.queries()["expr_like_filter"](spark, SF_SMALL))
     assert "StartsWith" in text
+
+
+# ------------------------------------------------------------ scale shapes
+
+
+@pytest.fixture()
+def no_coalesce(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, old)
+
+
+def test_sort_spread_splits_a_hot_key(spark, no_coalesce):
+    df = spark.range(0, 100000, numPartitions=8).select((F.col("id") % 3 != 0).cast("int").alias("k"), "id")
+    plain = df.orderBy("k").rdd.glom().map(len).collect()
+    spread = rel.sort_spread(df, "k").rdd.glom().map(len).collect()
+    assert max(plain) >= 66666  # the hot key sits in one task
+    assert max(spread) < 30000 and sum(spread) == 100000
+    keys = [r["k"] for r in rel.sort_spread(df, "k").select("k").collect()]
+    assert keys == sorted(keys)
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = scratch.rsplit("-", 1)[-1]
+        o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+        c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+        files.write_sorted_parquet(o, f"{scratch}/o", "o_custkey", buckets=4, table_name=f"o_{n}")
+        files.write_sorted_parquet(c, f"{scratch}/c", "c_custkey", buckets=4, table_name=f"c_{n}")
+        j = joins.join_on_keys(spark.table(f"o_{n}"), spark.table(f"c_{n}"), "o_custkey", "c_custkey")
+        assert "Exchange" not in formatted(j)
+        plain = joins.join_on_keys(o, c, "o_custkey", "c_custkey")
+        assert "Exchange" in formatted(plain)
+        assert j.count() == plain.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
