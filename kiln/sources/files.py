@@ -2,7 +2,7 @@
 
 Schema handling comes in the four forms the reference uses: inferred from the
 data, declared up front, all-string text cast afterwards, and (for versioned
-tables, see :mod:`kiln.sources.snapshot_table`) stored with the table.
+tables, see :mod:`kiln.operators.versioned`) stored with the table.
 
 Casts and timestamp parsing use the ``try_`` forms so malformed text becomes
 NULL instead of failing the job (Spark 4 runs with ANSI mode on).
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from kiln.operators.relational import sort_spread
+
 # Fixed value: timestamp text keeps microseconds so a text round trip is exact.
 TS_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -124,15 +126,19 @@ def write_sorted_parquet(
 ) -> str:
     """Parquet sorted by ``key``.
 
-    Without ``buckets`` the data is range-partitioned and sorted globally
-    (``orderBy``), so each file holds a contiguous key range and min/max
-    statistics let later scans skip files.  With ``buckets`` the rows are
-    hash-bucketed by ``key`` and sorted inside each bucket, and the output is
-    registered as ``table_name`` in the session catalog: two tables bucketed
-    the same way on the join key join without any shuffle.
+    Without ``buckets`` the data is range-partitioned and sorted globally,
+    so each file holds a contiguous key range and min/max statistics let later
+    scans skip files.  The sort ends in a unique tie-breaker
+    (:func:`kiln.operators.relational.sort_spread`), so a key holding a third
+    of the rows is written by many tasks, not one.  With ``buckets`` the rows
+    are hash-bucketed by ``key`` and sorted inside each bucket, and the output
+    is registered as ``table_name`` in the session catalog: two tables
+    bucketed the same way on the join key join without any shuffle.  A hot
+    key makes its bucket large, so bucket only on keys without heavy skew;
+    otherwise the sort-merge join with AQE's skew split is the better plan.
     """
     if buckets is None:
-        df.orderBy(F.col(key).asc()).write.mode(mode).parquet(path)
+        sort_spread(df, F.col(key).asc()).write.mode(mode).parquet(path)
         return path
     if not table_name:
         raise ValueError("a bucketed write needs a table_name")

@@ -18,9 +18,23 @@ from kiln.operators.versioned import OP_STREAM, SnapshotTable
 DEFAULT_TRIGGER = "10 seconds"
 
 
-def file_stream(spark: SparkSession, source_dir: str, table: SnapshotTable, *, fmt: str = "parquet") -> DataFrame:
-    """Streaming DataFrame over ``source_dir`` with the table's current schema."""
-    return spark.readStream.format(fmt).schema(table.schema()).load(source_dir)
+def file_stream(
+    spark: SparkSession,
+    source_dir: str,
+    table: SnapshotTable,
+    *,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Streaming DataFrame over ``source_dir`` with the table's current schema.
+
+    ``max_files_per_trigger`` bounds each micro-batch, so a backlog of files
+    is worked off in batches of known size instead of one huge batch.
+    """
+    reader = spark.readStream.format(fmt).schema(table.schema())
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(source_dir)
 
 
 def start_append(
@@ -69,10 +83,11 @@ def stream_files_into_table(
     available_now: bool = True,
     trigger: str = DEFAULT_TRIGGER,
     run_seconds: float | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> int:
     """Convenience: stream ``source_dir`` into ``table``; returns the version."""
-    q = start_append(file_stream(spark, source_dir, table), table, checkpoint_dir,
-                     trigger=trigger, available_now=available_now)
+    stream = file_stream(spark, source_dir, table, max_files_per_trigger=max_files_per_trigger)
+    q = start_append(stream, table, checkpoint_dir, trigger=trigger, available_now=available_now)
     run_for(q, None if available_now else run_seconds)
     exc = q.exception()
     if exc is not None:

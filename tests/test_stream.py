@@ -51,3 +51,15 @@ def test_processing_time_trigger_bounded_run(spark, scratch):
     run_for(q, 0.5)
     assert not q.isActive
     assert table.read().where(F.col("loan_id") == 1).count() == 1
+
+
+def test_bounded_batches_all_rows_once(spark, scratch):
+    inbox, ckpt = f"{scratch}/inbox", f"{scratch}/ckpt"
+    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
+    for part in range(3):
+        spark.createDataFrame([(part * 10 + i, i, 1.0, "A") for i in range(5)], SCHEMA).coalesce(1).write.mode(
+            "append"
+        ).parquet(inbox)
+    stream_files_into_table(spark, inbox, table, ckpt, max_files_per_trigger=1)
+    assert table.read().count() == 15
+    assert sum(r["operation"] == "STREAMING UPDATE" for r in table.history().collect()) == 3
