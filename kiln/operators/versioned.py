@@ -63,7 +63,9 @@ LOG_SCHEMA = StructType(
 )
 
 _FILE = "__kiln_file"
+_HISTORY_COLS = ("version", "timestamp", "operation", "num_added_files", "num_removed_files", "stream_id", "batch_id")
 _APPEND_RETRIES = 5
+_SEP = "\n"  # file paths never contain a newline
 
 
 class TableError(Exception):
@@ -155,14 +157,32 @@ class SnapshotTable:
 
     # ------------------------------------------------------------ metadata
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(f"{self.root}/_log")
+    def _log(self, versions: list[int] | None = None) -> DataFrame:
+        """Commit records: all of them, or only those of ``versions``."""
+        reader = self.spark.read.schema(LOG_SCHEMA)
+        if versions is None:
+            return reader.option("recursiveFileLookup", "true").json(f"{self.root}/_log")
+        return reader.json([self._log_path(v) for v in versions])
 
-    def exists(self) -> bool:
+    def _log_path(self, version: int) -> str:
+        return f"{self.root}/_log/{version:020d}"
+
+    def versions(self) -> list[int]:
+        """Committed versions, ascending.  A listing only: no record is read,
+        so finding the latest version does not grow with the log's size."""
         try:
-            return self._log().limit(1).count() > 0
+            paths = self._log().inputFiles()
         except Exception:
-            return False
+            return []
+        out = set()
+        for p in paths:
+            parent = p.rstrip("/").rsplit("/", 2)[-2]
+            if parent.isdigit():
+                out.add(int(parent))
+        return sorted(out)
+
+    def exists(self) -> bool:
+        return bool(self.versions())
 
     def latest_version(self) -> int:
         return self.snapshot().version
@@ -173,16 +193,15 @@ class SnapshotTable:
             return self._latest
         if version is not None and self._latest is not None and version == self._latest.version:
             return self._latest
-        try:
-            log = self._log()
-            if version is None:
-                row = log.orderBy(F.col("version").desc()).select("version", "schema_json", "files").first()
-            else:
-                row = log.where(F.col("version") == version).select("version", "schema_json", "files").first()
-        except Exception as e:
-            raise TableError(f"no versioned table at {self.root}") from e
-        if row is None:
+        known = self.versions()
+        if not known:
+            raise TableError(f"no versioned table at {self.root}")
+        wanted = known[-1] if version is None else version
+        if wanted not in known:
             raise TableError(f"version {version} not found at {self.root}")
+        row = self._log([wanted]).select("version", "schema_json", "files").first()
+        if row is None:
+            raise TableError(f"version {version} has an empty commit record at {self.root}")
         schema = StructType.fromJson(json.loads(row["schema_json"]))
         snap = Snapshot(int(row["version"]), schema, tuple(row["files"] or ()))
         if version is None:
@@ -194,11 +213,13 @@ class SnapshotTable:
 
     def history(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first: version, timestamp, operation and file counts."""
-        h = self._log().select(
-            "version", "timestamp", "operation", "num_added_files", "num_removed_files", "stream_id", "batch_id"
-        )
-        h = h.orderBy(F.col("version").desc())
-        return h.limit(limit) if limit is not None else h
+        known = self.versions()
+        if limit is not None:
+            known = known[-limit:] if limit > 0 else []
+        if not known:
+            return self.spark.createDataFrame([], LOG_SCHEMA).select(*_HISTORY_COLS)
+        h = self._log(known).select(*_HISTORY_COLS)
+        return h.orderBy(F.col("version").desc())
 
     # ------------------------------------------------------------ reading
 
@@ -236,20 +257,26 @@ class SnapshotTable:
         stream_id: str | None = None,
         batch_id: int | None = None,
     ) -> int:
-        rec = (
-            version,
-            _dt.datetime.now(),
-            operation,
-            schema.json(),
-            list(files),
-            len(files) if added is None else added,
-            removed,
-            stream_id,
-            batch_id,
+        # One JVM-side literal row: the file list travels as one joined string
+        # literal split back into an array, so the plan size does not grow
+        # with the number of files.
+        files_col = (
+            F.split(F.lit(_SEP.join(files)), _SEP) if files else F.array().cast(ArrayType(StringType()))
+        )
+        rec = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast(LongType()).alias("version"),
+            F.lit(_dt.datetime.now()).cast(TimestampType()).alias("timestamp"),
+            F.lit(operation).alias("operation"),
+            F.lit(schema.json()).alias("schema_json"),
+            files_col.alias("files"),
+            F.lit(len(files) if added is None else added).cast(LongType()).alias("num_added_files"),
+            F.lit(removed).cast(LongType()).alias("num_removed_files"),
+            F.lit(stream_id).cast(StringType()).alias("stream_id"),
+            F.lit(batch_id).cast(LongType()).alias("batch_id"),
         )
         path = f"{self.root}/_log/{version:020d}"
         try:
-            self.spark.createDataFrame([rec], LOG_SCHEMA).coalesce(1).write.mode("errorifexists").json(path)
+            rec.write.mode("errorifexists").json(path)
         except Exception as e:  # path exists: someone else committed this version
             if "already exists" in str(e).lower() or "PATH_ALREADY_EXISTS" in str(e):
                 self.refresh()
