@@ -3,7 +3,7 @@
 Each operator is a thin, declarative composition of DataFrame calls so that
 Catalyst keeps its optimisations: partial (map-side) aggregation before every
 shuffle, ``TakeOrderedAndProject`` for sort+limit, ``WindowGroupLimit`` for
-rank filters, and a single aggregation for a pivot with listed values.
+rank filters, and a pivot over listed values with no value-discovery job.
 """
 
 from __future__ import annotations
@@ -119,8 +119,10 @@ def pivot_agg(
 
     ``values`` maps an output label to the pivot value (``{"JAN": 1}``);
     output columns are ``<label>_<aggregate name>``.  Listing the values
-    avoids the extra job that would find them and plans the pivot as a
-    single (partial + final) aggregation.
+    avoids the extra job that would find them.  Spark plans it in two
+    aggregation phases: a partial + final aggregate per (group, pivot value),
+    then a ``PivotFirst`` per group whose shuffle carries at most one row per
+    (group, listed value), so both shuffles move pre-aggregated rows only.
     """
     labels = list(values.keys())
     raw = list(values.values())

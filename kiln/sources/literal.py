@@ -18,9 +18,21 @@ _CHAR_STEPS = (31, 37, 41, 43, 47)
 _USAGE_STEP = 7919
 
 
-def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType | str) -> DataFrame:
-    """A table from in-code rows.  Meant for small, bounded row sets."""
-    return spark.createDataFrame(list(rows), schema)
+def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructType) -> DataFrame:
+    """A table from in-code rows.  Meant for small, bounded row sets.
+
+    The rows become one literal array of structs expanded with ``inline`` on
+    a one-row range, so the relation lives in the plan: no Python worker is
+    started on executors to decode pickled rows.
+    """
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
+        for row in rows
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
 def _name_char(uid: Column, step: int, seed: int, i: int) -> Column:
