@@ -408,7 +408,20 @@ class SnapshotTable:
         tkey = names[_key(key)]
         src = _align(source, snap.schema)
         src_counts = src.where(F.col(tkey).isNotNull()).groupBy(tkey).agg(F.count(F.lit(1)).alias("__n"))
-        target = self._scan(snap.schema, snap.files).select(tkey, F.input_file_name().alias(_FILE))
+        # The source's key range, pushed to the target scan, lets Parquet skip
+        # row groups (and files) that cannot match: a table written sorted or
+        # clustered by the key reads only the slice the upsert touches.
+        lo, hi = src.agg(F.min(tkey), F.max(tkey)).first()
+        if lo is None:  # no non-NULL source key: nothing can match
+            new_files = self._write_files(src)
+            return self._commit(
+                snap.version + 1, OP_MERGE, snap.schema, list(snap.files) + new_files, added=len(new_files), removed=0
+            )
+        target = (
+            self._scan(snap.schema, snap.files)
+            .where(F.col(tkey).between(F.lit(lo), F.lit(hi)))
+            .select(tkey, F.input_file_name().alias(_FILE))
+        )
         per_file = target.join(src_counts, tkey, "inner").groupBy(_FILE).agg(F.max("__n").alias("__n")).collect()
         if any(r["__n"] > 1 for r in per_file):
             raise MergeConflictError("several source rows match the same target row")

@@ -148,3 +148,23 @@ def test_empty_table_and_delete_all(spark, scratch):
     t.append(spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA))
     t.delete(F.lit(True))
     assert t.read().count() == 0 and t.read(1).count() == 1
+
+
+def test_merge_prunes_target_by_source_key_range(spark, scratch):
+    from kiln.plans.inspect import plan_text
+
+    base = spark.range(0, 2000).selectExpr("id AS loan_id", "1 AS funded_amnt", "1.0 AS paid_amnt", "'X' AS addr_state")
+    t = SnapshotTable.write(base.repartition(4), scratch)
+    snap = t.snapshot()
+    probe = t._scan(snap.schema, snap.files).where(F.col("loan_id").between(F.lit(10), F.lit(20)))
+    assert "GreaterThanOrEqual(loan_id,10)" in plan_text(probe) and "LessThanOrEqual(loan_id,20)" in plan_text(probe)
+    src = spark.createDataFrame([(10, 5, 5.0, "Y"), (20, 6, 6.0, "Z"), (5000, 7, 7.0, "NEW")], SCHEMA)
+    t.merge_upsert(src, "loan_id")
+    got = {r["loan_id"]: r["addr_state"] for r in t.read().where("loan_id IN (10, 20, 5000, 11)").collect()}
+    assert got == {10: "Y", 20: "Z", 5000: "NEW", 11: "X"} and t.read().count() == 2001
+
+
+def test_merge_with_only_null_source_keys_inserts(spark, table):
+    t = table
+    t.merge_upsert(spark.createDataFrame([(None, 1, 1.0, "N")], SCHEMA), "loan_id")
+    assert t.read().count() == 5 and t.read().where("loan_id IS NULL").count() == 1
