@@ -1,0 +1,16 @@
+"""Column-expression helpers (no UDFs)."""
+
+from kiln.functions.rules import delay_bucket, high_usage, on_time_status, usage_cost
+from kiln.functions.temporal import (
+    compact_date_text,
+    compact_to_timestamp,
+    format_timestamp,
+    month_from_text,
+    parse_timestamp,
+    year_of,
+)
+
+__all__ = [
+    "delay_bucket", "high_usage", "on_time_status", "usage_cost",
+    "compact_date_text", "compact_to_timestamp", "format_timestamp", "month_from_text", "parse_timestamp", "year_of",
+]
