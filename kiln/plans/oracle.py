@@ -23,7 +23,7 @@ _DEST = "[" + ", ".join(f"'{a}'" for a in AIRPORTS) + f"][((user_id % {_N_AIR})
 
 FLIGHTS = f"""flights AS (
   SELECT strftime(ts, '%m%d%H%M') AS date,
-         CAST(floor(value) AS INTEGER) AS delay,
+         TRY_CAST(floor(value) AS INTEGER) AS delay,
          user_id * {DISTANCE_PER_USER} AS distance,
          {_ORIGIN} AS origin,
          {_DEST} AS destination

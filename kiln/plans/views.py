@@ -57,7 +57,7 @@ def flights(events: DataFrame) -> DataFrame:
     dest_idx = (F.pmod(F.col("user_id"), F.lit(len(AIRPORTS))) + F.lit(1)).cast("int")
     return events.select(
         F.date_format("ts", COMPACT_FORMAT).alias("date"),
-        F.floor("value").cast("int").alias("delay"),
+        F.floor("value").try_cast("int").alias("delay"),
         (F.col("user_id") * F.lit(DISTANCE_PER_USER)).alias("distance"),
         _origin(F.col("event_type")).alias("origin"),
         F.element_at(airports, dest_idx).alias("destination"),
