@@ -17,17 +17,22 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the session has none (a bare local test session) is a local
     folder created and registered as the checkpoint dir.
     """
-    root = spark.sparkContext.getConf().get(_CKPT_KEY, None)
+    try:
+        root = spark.conf.get(_CKPT_KEY, None)  # works for classic and Connect sessions
+    except Exception:  # pragma: no cover - conf lookups differ by version
+        root = None
     if not root:
         try:
-            root = spark.conf.get(_CKPT_KEY, None)
-        except Exception:  # pragma: no cover - conf lookups differ by version
-            root = None
+            sc = spark.sparkContext  # classic sessions only
+        except Exception:  # pragma: no cover - Spark Connect has no SparkContext
+            sc = None
+        if sc is not None:
+            root = sc.getConf().get(_CKPT_KEY, None) or sc.getCheckpointDir()
+            if not root:
+                root = tempfile.mkdtemp(prefix="kiln-ckpt-")
+                sc.setCheckpointDir(root)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="kiln-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError(f"set {_CKPT_KEY} to a folder every executor can reach")
     return root.rstrip("/")
 
 

@@ -103,3 +103,12 @@ class open_text:
 
     def __exit__(self, *exc):
         return False
+
+
+def test_shared_dir_comes_from_session(spark):
+    from kiln.session import scratch_path, shared_dir
+
+    root = shared_dir(spark)
+    assert root and not root.endswith("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root + "/kiln/x-")
