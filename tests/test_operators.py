@@ -300,3 +300,12 @@ def test_hot_join_key_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_join_inputs_can_be_cached(spark):
+    left = spark.range(100).withColumnRenamed("id", "a")
+    right = spark.range(50).withColumnRenamed("id", "b")
+    j = joins.join_on_keys(left, right, "a", "b", persist_inputs=True)
+    assert "InMemoryRelation" in plan_text(j, "extended") or "InMemoryTableScan" in plan_text(j)
+    assert j.count() == 50
+    assert j.count() == 50  # second action reads the cache
