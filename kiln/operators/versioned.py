@@ -27,6 +27,7 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Mapping
+from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -243,7 +244,7 @@ class SnapshotTable:
         out = f"{self.root}/data/{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(out)
         # listing only: with the schema given no file footer is read
-        return list(self.spark.read.schema(df.schema).parquet(out).inputFiles())
+        return [_readable(p) for p in self.spark.read.schema(df.schema).parquet(out).inputFiles()]
 
     def _commit(
         self,
@@ -293,10 +294,11 @@ class SnapshotTable:
             self._stream_batches = {(r[0], int(r[1])) for r in done}
         return (stream_id, int(batch_id)) in self._stream_batches
 
-    def _files_where(self, df: DataFrame, cond: Column) -> list[str]:
-        """Names of the files holding at least one row where ``cond`` is true."""
-        rows = df.withColumn(_FILE, F.input_file_name()).where(cond).select(_FILE).distinct().collect()
-        return [r[0] for r in rows]
+    def _files_where(self, snap: Snapshot, cond: Column) -> list[str]:
+        """Files of ``snap`` holding at least one row where ``cond`` is true."""
+        scan = self._scan(snap.schema, snap.files)
+        rows = scan.withColumn(_FILE, F.input_file_name()).where(cond).select(_FILE).distinct().collect()
+        return _known_files(snap, [r[0] for r in rows])
 
     def append(
         self,
@@ -355,7 +357,7 @@ class SnapshotTable:
         missing = [c for c in assignments if _key(c) not in names]
         if missing:
             raise SchemaMismatchError(f"update sets unknown columns {missing}")
-        touched = self._files_where(self._scan(snap.schema, snap.files), cond)
+        touched = self._files_where(snap, cond)
         if not touched:
             return snap.version
         rows = self._scan(snap.schema, touched)
@@ -366,7 +368,7 @@ class SnapshotTable:
             for c, v in assignments.items()
         }
         new_files = self._write_files(rows.withColumns(sets))
-        keep = [f for f in snap.files if f not in set(touched)]
+        keep = _without(snap.files, touched)
         return self._commit(
             snap.version + 1, OP_UPDATE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
         )
@@ -376,12 +378,12 @@ class SnapshotTable:
         outcome keeps the row.  Returns the new version."""
         snap = self.snapshot()
         cond = _as_col(condition)
-        touched = self._files_where(self._scan(snap.schema, snap.files), cond)
+        touched = self._files_where(snap, cond)
         if not touched:
             return snap.version
         rows = self._scan(snap.schema, touched).where(~F.coalesce(cond, F.lit(False)))
         new_files = self._write_files(rows)
-        keep = [f for f in snap.files if f not in set(touched)]
+        keep = _without(snap.files, touched)
         return self._commit(
             snap.version + 1, OP_DELETE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
         )
@@ -425,15 +427,39 @@ class SnapshotTable:
         per_file = target.join(src_counts, tkey, "inner").groupBy(_FILE).agg(F.max("__n").alias("__n")).collect()
         if any(r["__n"] > 1 for r in per_file):
             raise MergeConflictError("several source rows match the same target row")
-        touched = [r[_FILE] for r in per_file]
+        touched = _known_files(snap, [r[_FILE] for r in per_file])
         kept = self._scan(snap.schema, touched).join(src.select(tkey).where(F.col(tkey).isNotNull()), tkey, "left_anti")
         new_files = self._write_files(kept.unionByName(src))
-        keep = [f for f in snap.files if f not in set(touched)]
+        keep = _without(snap.files, touched)
         return self._commit(
             snap.version + 1, OP_MERGE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
         )
 
 
+def _readable(uri: str) -> str:
+    """``inputFiles()`` and ``input_file_name()`` give URL-encoded URIs (a
+    space is ``%20``); the readers want the plain path, decoded once."""
+    return unquote(uri)
+
+
+def _known_files(snap: Snapshot, names: list[str]) -> list[str]:
+    """Map file names seen by a scan back to ``snap``'s entries (a set lookup,
+    so the cost is linear in the file count)."""
+    by_name = {f: f for f in snap.files}
+    out = []
+    for n in names:
+        f = by_name.get(_readable(n))
+        if f is None:
+            raise TableError(f"scanned file {n} is not part of version {snap.version}")
+        out.append(f)
+    return out
+
+
+def _without(files, removed) -> list[str]:
+    gone = set(removed)
+    return [f for f in files if f not in gone]
+
+
 def _same_schema(a: StructType, b: StructType) -> bool:
     return [(_key(f.name), f.dataType) for f in a.fields] == [(_key(f.name), f.dataType) for f in b.fields]
 

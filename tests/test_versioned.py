@@ -168,3 +168,14 @@ def test_merge_with_only_null_source_keys_inserts(spark, table):
     t = table
     t.merge_upsert(spark.createDataFrame([(None, 1, 1.0, "N")], SCHEMA), "loan_id")
     assert t.read().count() == 5 and t.read().where("loan_id IS NULL").count() == 1
+
+
+def test_dml_in_a_path_with_space_and_percent(spark, scratch):
+    t = SnapshotTable.write(
+        spark.createDataFrame([(1, 1, 1.0, "A"), (2, 2, 2.0, "B")], SCHEMA).repartition(2), f"{scratch}/odd name %41"
+    )
+    t.update("loan_id = 1", {"addr_state": F.lit("Z")})
+    t.delete("loan_id = 2")
+    t.merge_upsert(spark.createDataFrame([(1, 9, 9.0, "M")], SCHEMA), "loan_id")
+    assert rows(t.read()) == [(1, 9, 9.0, "M")]
+    assert [t.read(v).count() for v in t.versions()] == [2, 2, 1, 1]
