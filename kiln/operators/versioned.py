@@ -294,11 +294,20 @@ class SnapshotTable:
             self._stream_batches = {(r[0], int(r[1])) for r in done}
         return (stream_id, int(batch_id)) in self._stream_batches
 
+    def _files_scan(self, snap: Snapshot, cond: Column) -> DataFrame:
+        """Distinct names of the files holding rows where ``cond`` is true.
+
+        The predicate comes before the file-name column: a filter is not
+        pushed below a projection with a nondeterministic expression such as
+        ``input_file_name()``, and here it must reach the Parquet reader so
+        row groups that cannot match are skipped.
+        """
+        scan = self._scan(snap.schema, snap.files)
+        return scan.where(cond).select(F.input_file_name().alias(_FILE)).distinct()
+
     def _files_where(self, snap: Snapshot, cond: Column) -> list[str]:
         """Files of ``snap`` holding at least one row where ``cond`` is true."""
-        scan = self._scan(snap.schema, snap.files)
-        rows = scan.withColumn(_FILE, F.input_file_name()).where(cond).select(_FILE).distinct().collect()
-        return _known_files(snap, [r[0] for r in rows])
+        return _known_files(snap, [r[0] for r in self._files_scan(snap, cond).collect()])
 
     def append(
         self,

@@ -179,3 +179,11 @@ def test_dml_in_a_path_with_space_and_percent(spark, scratch):
     t.merge_upsert(spark.createDataFrame([(1, 9, 9.0, "M")], SCHEMA), "loan_id")
     assert rows(t.read()) == [(1, 9, 9.0, "M")]
     assert [t.read(v).count() for v in t.versions()] == [2, 2, 1, 1]
+
+
+def test_touched_file_scan_pushes_the_predicate(table):
+    from kiln.plans.inspect import plan_text
+
+    text = plan_text(table._files_scan(table.snapshot(), F.col("paid_amnt") > 60))
+    assert "GreaterThan(paid_amnt,60.0)" in text
+    assert "ReadSchema: struct<paid_amnt:double>" in text
