@@ -6,8 +6,12 @@ Layout under the table root (any filesystem Spark can write)::
     <root>/data/<write-id>/part-*.parquet     one directory per write
     <root>/_log/<version, 20 digits>/*.json   one commit record per version
 
-A commit record lists the table's schema (JSON) and every data file of that
-version.  Reading version ``v`` is ``spark.read.schema(s).parquet(*files)``:
+A commit record holds the table's schema (JSON) and the files the version
+added and removed; every ``CHECKPOINT_EVERY``-th version also lists all of its
+files.  Reading version ``v`` starts at the last such full list and applies
+at most ``CHECKPOINT_EVERY - 1`` small deltas, so metadata grows with the
+changes, not with versions x files.  The data read is
+``spark.read.schema(s).parquet(*files)``:
 columns added later read as NULL from older files, so schema evolution needs
 no rewrite.  Mutations are copy-on-write at file granularity: a job first
 finds the files that hold affected rows (one distributed pass that returns
@@ -56,6 +60,8 @@ LOG_SCHEMA = StructType(
         StructField("operation", StringType()),
         StructField("schema_json", StringType()),
         StructField("files", ArrayType(StringType())),
+        StructField("added", ArrayType(StringType())),
+        StructField("removed", ArrayType(StringType())),
         StructField("num_added_files", LongType()),
         StructField("num_removed_files", LongType()),
         StructField("stream_id", StringType()),
@@ -66,6 +72,8 @@ LOG_SCHEMA = StructType(
 _FILE = "__kiln_file"
 _HISTORY_COLS = ("version", "timestamp", "operation", "num_added_files", "num_removed_files", "stream_id", "batch_id")
 _APPEND_RETRIES = 5
+# Fixed format value: versions divisible by this carry their full file list.
+CHECKPOINT_EVERY = 10
 _SEP = "\n"  # file paths never contain a newline
 
 
@@ -142,7 +150,8 @@ class SnapshotTable:
         """
         t = cls(df.sparkSession, root)
         if not t.exists():
-            t._commit(0, OP_WRITE, df.schema, t._write_files(df), added=None, removed=0)
+            files = t._write_files(df)
+            t._commit(0, OP_WRITE, df.schema, files, added=files, removed=[])
             return t
         if mode == "errorifexists":
             raise TableError(f"table already exists at {root}")
@@ -153,7 +162,7 @@ class SnapshotTable:
         if not overwrite_schema and not _same_schema(snap.schema, df.schema):
             raise SchemaMismatchError("overwrite with a different schema needs overwrite_schema=True")
         files = t._write_files(df)
-        t._commit(snap.version + 1, OP_WRITE, df.schema, files, added=len(files), removed=len(snap.files))
+        t._commit(snap.version + 1, OP_WRITE, df.schema, files, added=files, removed=list(snap.files))
         return t
 
     # ------------------------------------------------------------ metadata
@@ -200,11 +209,16 @@ class SnapshotTable:
         wanted = known[-1] if version is None else version
         if wanted not in known:
             raise TableError(f"version {version} not found at {self.root}")
-        row = self._log([wanted]).select("version", "schema_json", "files").first()
-        if row is None:
-            raise TableError(f"version {version} has an empty commit record at {self.root}")
-        schema = StructType.fromJson(json.loads(row["schema_json"]))
-        snap = Snapshot(int(row["version"]), schema, tuple(row["files"] or ()))
+        base = wanted - wanted % CHECKPOINT_EVERY
+        recs = self._log(list(range(base, wanted + 1))).select("version", "schema_json", "files", "added", "removed")
+        rows = sorted(recs.collect(), key=lambda r: r["version"])
+        if [r["version"] for r in rows] != list(range(base, wanted + 1)):
+            raise TableError(f"commit records {base}..{wanted} are incomplete at {self.root}")
+        files = list(rows[0]["files"] or ())
+        for r in rows[1:]:
+            files = _without(files, r["removed"] or ()) + list(r["added"] or ())
+        schema = StructType.fromJson(json.loads(rows[-1]["schema_json"]))
+        snap = Snapshot(wanted, schema, tuple(files))
         if version is None:
             self._latest = snap
         return snap
@@ -253,25 +267,23 @@ class SnapshotTable:
         schema: StructType,
         files: list[str],
         *,
-        added: int | None,
-        removed: int,
+        added: list[str],
+        removed: list[str],
         stream_id: str | None = None,
         batch_id: int | None = None,
     ) -> int:
-        # One JVM-side literal row: the file list travels as one joined string
-        # literal split back into an array, so the plan size does not grow
-        # with the number of files.
-        files_col = (
-            F.split(F.lit(_SEP.join(files)), _SEP) if files else F.array().cast(ArrayType(StringType()))
-        )
+        """Write the commit record of ``version`` (``files`` is its full list)."""
+        full = version % CHECKPOINT_EVERY == 0
         rec = self.spark.range(1, numPartitions=1).select(
             F.lit(version).cast(LongType()).alias("version"),
             F.lit(_dt.datetime.now()).cast(TimestampType()).alias("timestamp"),
             F.lit(operation).alias("operation"),
             F.lit(schema.json()).alias("schema_json"),
-            files_col.alias("files"),
-            F.lit(len(files) if added is None else added).cast(LongType()).alias("num_added_files"),
-            F.lit(removed).cast(LongType()).alias("num_removed_files"),
+            (_paths_col(files) if full else F.lit(None).cast(ArrayType(StringType()))).alias("files"),
+            _paths_col(added).alias("added"),
+            _paths_col(removed).alias("removed"),
+            F.lit(len(added)).cast(LongType()).alias("num_added_files"),
+            F.lit(len(removed)).cast(LongType()).alias("num_removed_files"),
             F.lit(stream_id).cast(StringType()).alias("stream_id"),
             F.lit(batch_id).cast(LongType()).alias("batch_id"),
         )
@@ -342,8 +354,8 @@ class SnapshotTable:
                     operation,
                     new_schema,
                     list(snap.files) + files,
-                    added=len(files),
-                    removed=0,
+                    added=files,
+                    removed=[],
                     stream_id=stream_id,
                     batch_id=batch_id,
                 )
@@ -379,7 +391,7 @@ class SnapshotTable:
         new_files = self._write_files(rows.withColumns(sets))
         keep = _without(snap.files, touched)
         return self._commit(
-            snap.version + 1, OP_UPDATE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+            snap.version + 1, OP_UPDATE, snap.schema, keep + new_files, added=new_files, removed=touched
         )
 
     def delete(self, condition: Column | str) -> int:
@@ -394,7 +406,7 @@ class SnapshotTable:
         new_files = self._write_files(rows)
         keep = _without(snap.files, touched)
         return self._commit(
-            snap.version + 1, OP_DELETE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+            snap.version + 1, OP_DELETE, snap.schema, keep + new_files, added=new_files, removed=touched
         )
 
     def merge_upsert(self, source: DataFrame, key: str) -> int:
@@ -426,7 +438,7 @@ class SnapshotTable:
         if lo is None:  # no non-NULL source key: nothing can match
             new_files = self._write_files(src)
             return self._commit(
-                snap.version + 1, OP_MERGE, snap.schema, list(snap.files) + new_files, added=len(new_files), removed=0
+                snap.version + 1, OP_MERGE, snap.schema, list(snap.files) + new_files, added=new_files, removed=[]
             )
         target = (
             self._scan(snap.schema, snap.files)
@@ -441,10 +453,19 @@ class SnapshotTable:
         new_files = self._write_files(kept.unionByName(src))
         keep = _without(snap.files, touched)
         return self._commit(
-            snap.version + 1, OP_MERGE, snap.schema, keep + new_files, added=len(new_files), removed=len(touched)
+            snap.version + 1, OP_MERGE, snap.schema, keep + new_files, added=new_files, removed=touched
         )
 
 
+def _paths_col(paths) -> Column:
+    """A list of paths as one array literal: a single joined string split back
+    into an array, so the plan has one literal however many files there are."""
+    paths = list(paths)
+    if not paths:
+        return F.array().cast(ArrayType(StringType()))
+    return F.split(F.lit(_SEP.join(paths)), _SEP)
+
+
 def _readable(uri: str) -> str:
     """``inputFiles()`` and ``input_file_name()`` give URL-encoded URIs (a
     space is ``%20``); the readers want the plain path, decoded once."""

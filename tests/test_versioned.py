@@ -134,7 +134,7 @@ def test_concurrent_commit_detected(spark, table):
     table.append(spark.createDataFrame([(5, 1, 1.0, "OR")], SCHEMA))
     stale = other.snapshot(0)
     with pytest.raises(ConcurrentCommitError):
-        other._commit(1, "WRITE", stale.schema, list(stale.files), added=0, removed=0)
+        other._commit(1, "WRITE", stale.schema, list(stale.files), added=[], removed=[])
 
 
 def test_uncommitted_data_is_invisible(spark, table):
@@ -187,3 +187,23 @@ def test_touched_file_scan_pushes_the_predicate(table):
     text = plan_text(table._files_scan(table.snapshot(), F.col("paid_amnt") > 60))
     assert "GreaterThan(paid_amnt,60.0)" in text
     assert "ReadSchema: struct<paid_amnt:double>" in text
+
+
+def test_versions_across_checkpoints(spark, scratch, monkeypatch):
+    import kiln.operators.versioned as V
+
+    monkeypatch.setattr(V, "CHECKPOINT_EVERY", 3)
+    t = SnapshotTable.write(spark.createDataFrame([(0, 0, 0.0, "A")], SCHEMA), scratch)
+    expected = [[0]]
+    for i in range(1, 8):
+        if i % 3 == 2:
+            t.delete(f"loan_id = {i - 1}")
+            expected.append([k for k in expected[-1] if k != i - 1])
+        else:
+            t.append(spark.createDataFrame([(i, i, float(i), "A")], SCHEMA))
+            expected.append(expected[-1] + [i])
+    fresh = SnapshotTable.for_path(spark, t.root)  # no cached metadata
+    for v, keys in enumerate(expected):
+        assert sorted(r["loan_id"] for r in fresh.read(v).collect()) == keys, v
+    files_full = [r for r in fresh._log().select("version", "files").collect() if r["files"] is not None]
+    assert sorted(r["version"] for r in files_full) == [0, 3, 6]
