@@ -34,6 +34,7 @@ from collections.abc import Mapping
 from urllib.parse import unquote
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -429,7 +430,16 @@ class SnapshotTable:
         if missing:
             raise SchemaMismatchError(f"merge source lacks table columns {missing} (update all needs every column)")
         tkey = names[_key(key)]
-        src = _align(source, snap.schema)
+        # The source feeds three jobs (key counts, key range, the write); keep
+        # one computed copy (memory, spilling to disk) so an expensive or
+        # nondeterministic source is evaluated once and all three agree.
+        src = _align(source, snap.schema).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._merge_aligned(snap, src, tkey)
+        finally:
+            src.unpersist()
+
+    def _merge_aligned(self, snap: Snapshot, src: DataFrame, tkey: str) -> int:
         src_counts = src.where(F.col(tkey).isNotNull()).groupBy(tkey).agg(F.count(F.lit(1)).alias("__n"))
         # The source's key range, pushed to the target scan, lets Parquet skip
         # row groups (and files) that cannot match: a table written sorted or
