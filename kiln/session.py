@@ -41,7 +41,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/kiln/{label}-{uuid.uuid4().hex[:16]}"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "kiln") -> SparkSession:
+def local_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "kiln",
+    extra_conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Local session for tests and the bench (never used by the library)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -53,6 +58,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
