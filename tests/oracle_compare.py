@@ -1,7 +1,8 @@
 """Run a catalogue query on Spark and its oracle on DuckDB; compare results.
 
-Comparison: row count, column names, and the sorted multiset of rows with
-doubles rounded to 9 significant digits and timestamps as naive datetimes.
+Comparison: column names and types, row count, and the sorted multiset of
+rows with doubles rounded to 9 significant digits and timestamps as naive
+datetimes.
 
     python tests/oracle_compare.py [sf_dir] [name ...]
 """
@@ -54,6 +55,26 @@ def _norm(v):
     return (5, str(v))
 
 
+# Spark type name -> DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "float": "FLOAT",
+}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(spark_type, spark_type)
+
+
 def canon(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -66,12 +87,19 @@ def compare(spark, sf_dir: str, name: str, query_fn, sql: str, con=None):
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t).replace(" ", "") for c, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duck={d_cols}")
+    else:
+        wrong = {
+            c: (t, d_types[c]) for c, t in sdf.dtypes if _duck_type(t).replace(" ", "") != d_types[c]
+        }
+        if wrong:
+            problems.append(f"types differ (spark, duck): {wrong}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     elif not problems:
