@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 import __spark_entry__ as E
 from conftest import SF_ORACLE, SF_SMALL
