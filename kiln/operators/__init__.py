@@ -1,6 +1,6 @@
 """Relational operators, joins and versioned tables."""
 
-from kiln.operators.joins import broadcast_if_bounded, join_dimension, join_on_keys, row_count_at_most
+from kiln.operators.joins import broadcast_if_bounded, join_dimension, join_on_keys, row_count_at_most, size_at_most
 from kiln.operators.relational import (
     count_distinct,
     distinct_values,
@@ -25,7 +25,7 @@ from kiln.operators.versioned import (
 )
 
 __all__ = [
-    "broadcast_if_bounded", "join_dimension", "join_on_keys", "row_count_at_most",
+    "broadcast_if_bounded", "join_dimension", "join_on_keys", "row_count_at_most", "size_at_most",
     "count_distinct", "distinct_values", "first_row", "global_stats", "group_count", "group_sum",
     "pivot_agg", "sort_spread", "top_k", "top_k_per_group", "union_all", "union_by_name",
     "ConcurrentCommitError", "MergeConflictError", "SchemaMismatchError", "Snapshot", "SnapshotTable", "TableError",

@@ -309,3 +309,15 @@ def test_join_inputs_can_be_cached(spark):
     assert "InMemoryRelation" in plan_text(j, "extended") or "InMemoryTableScan" in plan_text(j)
     assert j.count() == 50
     assert j.count() == 50  # second action reads the cache
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"))  # ~100 KB of strings
+    assert joins.size_at_most(wide, 1000, 200_000)
+    assert not joins.size_at_most(wide, 1000, 50_000)  # few rows, too many bytes
+    assert not joins.size_at_most(wide, 99, 10**9)  # too many rows
+    nested = spark.range(3).select(F.array(F.lit("ab"), F.lit("cd")).alias("a"), F.struct(F.col("id")).alias("st"))
+    assert joins.size_at_most(nested, 10, 1000)
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+    j = joins.join_dimension(fact, wide, F.col("k") == F.col("id"), max_broadcast_bytes=50_000)
+    assert "BroadcastHashJoin" not in plan_text(j) or j.count() == 100  # not hinted; planner decides
