@@ -445,6 +445,7 @@ class SnapshotTable:
         # row groups (and files) that cannot match: a table written sorted or
         # clustered by the key reads only the slice the upsert touches.
         lo, hi = src.agg(F.min(tkey), F.max(tkey)).first()
+        key_type = src.schema[tkey].dataType
         if lo is None:  # no non-NULL source key: nothing can match
             new_files = self._write_files(src)
             return self._commit(
@@ -452,7 +453,7 @@ class SnapshotTable:
             )
         target = (
             self._scan(snap.schema, snap.files)
-            .where(F.col(tkey).between(F.lit(lo), F.lit(hi)))
+            .where(F.col(tkey).between(F.lit(lo).cast(key_type), F.lit(hi).cast(key_type)))
             .select(tkey, F.input_file_name().alias(_FILE))
         )
         per_file = target.join(src_counts, tkey, "inner").groupBy(_FILE).agg(F.max("__n").alias("__n")).collect()

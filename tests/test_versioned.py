@@ -207,3 +207,15 @@ def test_versions_across_checkpoints(spark, scratch, monkeypatch):
         assert sorted(r["loan_id"] for r in fresh.read(v).collect()) == keys, v
     files_full = [r for r in fresh._log().select("version", "files").collect() if r["files"] is not None]
     assert sorted(r["version"] for r in files_full) == [0, 3, 6]
+
+
+def test_merge_on_timestamp_ntz_key(spark, scratch):
+    import datetime as dt
+
+    schema = "ts timestamp_ntz, v int"
+    base = [(dt.datetime(2024, 1, 1, h), h) for h in range(6)]
+    t = SnapshotTable.write(spark.createDataFrame(base, schema).repartition(3), scratch)
+    src = spark.createDataFrame([(dt.datetime(2024, 1, 1, 2), 20), (dt.datetime(2024, 1, 1, 9), 90)], schema)
+    t.merge_upsert(src, "ts")
+    got = sorted((r["ts"].hour, r["v"]) for r in t.read().collect())
+    assert got == [(0, 0), (1, 1), (2, 20), (3, 3), (4, 4), (5, 5), (9, 90)]
