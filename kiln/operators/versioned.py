@@ -76,6 +76,8 @@ _APPEND_RETRIES = 5
 # Fixed format value: versions divisible by this carry their full file list.
 CHECKPOINT_EVERY = 10
 _SEP = "\n"  # file paths never contain a newline
+# Key types whose min/max survive a round trip through text exactly.
+_RANGE_TYPES = {"byte", "short", "integer", "long", "float", "double", "decimal", "string", "date", "timestamp_ntz"}
 
 
 class TableError(Exception):
@@ -444,18 +446,26 @@ class SnapshotTable:
         # The source's key range, pushed to the target scan, lets Parquet skip
         # row groups (and files) that cannot match: a table written sorted or
         # clustered by the key reads only the slice the upsert touches.
-        lo, hi = src.agg(F.min(tkey), F.max(tkey)).first()
         key_type = src.schema[tkey].dataType
+        # min/max travel as text cast back to the key type inside Spark: exact
+        # for these types and free of the driver's time zone (a Python
+        # datetime literal would be read in the driver's local zone).
+        prunable = key_type.typeName() in _RANGE_TYPES
+        if prunable:
+            lo, hi = src.agg(F.min(tkey).cast("string"), F.max(tkey).cast("string")).first()
+        else:
+            lo = hi = None
+            if src.where(F.col(tkey).isNotNull()).limit(1).count():
+                lo = hi = ""  # keys exist; no range pruning for this type
         if lo is None:  # no non-NULL source key: nothing can match
             new_files = self._write_files(src)
             return self._commit(
                 snap.version + 1, OP_MERGE, snap.schema, list(snap.files) + new_files, added=new_files, removed=[]
             )
-        target = (
-            self._scan(snap.schema, snap.files)
-            .where(F.col(tkey).between(F.lit(lo).cast(key_type), F.lit(hi).cast(key_type)))
-            .select(tkey, F.input_file_name().alias(_FILE))
-        )
+        target = self._scan(snap.schema, snap.files)
+        if prunable:
+            target = target.where(F.col(tkey).between(F.lit(lo).cast(key_type), F.lit(hi).cast(key_type)))
+        target = target.select(tkey, F.input_file_name().alias(_FILE))
         per_file = target.join(src_counts, tkey, "inner").groupBy(_FILE).agg(F.max("__n").alias("__n")).collect()
         if any(r["__n"] > 1 for r in per_file):
             raise MergeConflictError("several source rows match the same target row")

@@ -219,3 +219,16 @@ def test_merge_on_timestamp_ntz_key(spark, scratch):
     t.merge_upsert(src, "ts")
     got = sorted((r["ts"].hour, r["v"]) for r in t.read().collect())
     assert got == [(0, 0), (1, 1), (2, 20), (3, 3), (4, 4), (5, 5), (9, 90)]
+
+
+def test_merge_on_zoned_timestamp_and_boolean_keys(spark, scratch):
+    import datetime as dt
+
+    t = SnapshotTable.write(
+        spark.createDataFrame([(dt.datetime(2024, 1, 1, h), h) for h in range(4)], "ts timestamp, v int"), scratch
+    )
+    t.merge_upsert(spark.createDataFrame([(dt.datetime(2024, 1, 1, 1), 10)], "ts timestamp, v int"), "ts")
+    assert sorted(r["v"] for r in t.read().collect()) == [0, 2, 3, 10]
+    b = SnapshotTable.write(spark.createDataFrame([(True, 1), (False, 2)], "k boolean, v int"), scratch + "-b")
+    b.merge_upsert(spark.createDataFrame([(True, 5)], "k boolean, v int"), "k")
+    assert sorted(tuple(r) for r in b.read().collect()) == [(False, 2), (True, 5)]
