@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 # Alphabet for generated user names and the name prefix.
 NAME_ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -29,12 +30,20 @@ def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructTy
     if not rows:
         return spark.createDataFrame([], schema)
     structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
+        F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields, strict=True)])
         for row in rows
     ]
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
 
 
+def _literal(value, data_type) -> Column:
+    """A typed literal.  A wall-clock (``timestamp_ntz``) value goes in as ISO
+    text: ``lit(datetime)`` would read it in the driver's local time zone."""
+    if isinstance(value, _dt.datetime) and isinstance(data_type, TimestampNTZType):
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 def _name_char(uid: Column, step: int, seed: int, i: int) -> Column:
     pos = F.pmod(uid * F.lit(step) + F.lit(seed + 13 * i), F.lit(len(NAME_ALPHABET))) + F.lit(1)
     return F.substring(F.lit(NAME_ALPHABET), pos.cast("int"), F.lit(1))

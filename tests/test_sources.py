@@ -3,7 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, IntegerType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from conftest import SF_SMALL
 from kiln.plans.inspect import plan_text, schema_text
@@ -112,3 +112,15 @@ def test_shared_dir_comes_from_session(spark):
     assert root and not root.endswith("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root + "/kiln/x-")
+
+
+def test_literal_rows_keep_wall_clock_and_instants(spark):
+    rows = [(dt.datetime(2024, 1, 1, 2, 30), dt.datetime(2024, 1, 1, 2, 30), dt.date(2024, 1, 1))]
+    schema = StructType(
+        [
+            StructField("ntz", TimestampNTZType()),
+            StructField("ltz", TimestampType()),
+            StructField("d", DateType()),
+        ]
+    )
+    assert literal.literal_rows(spark, rows, schema).collect() == spark.createDataFrame(rows, schema).collect()
