@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_ORACLE, SF_SMALL
+from kiln.plans.inspect import plan_text
 from oracle_compare import compare, duck
 
 NAMES = sorted(E.queries())
@@ -27,7 +28,10 @@ def con_small():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle_small(spark, con_small, name):
-    problems, _, _ = compare(spark, SF_SMALL, name, E.queries()[name], E.oracle_sql()[name], con_small)
+    df = E.queries()[name](spark, SF_SMALL)
+    text = plan_text(df, "formatted")
+    assert "EvalPython" not in text and "InPandas" not in text, "Python in the plan"
+    problems, _, _ = compare(spark, SF_SMALL, name, lambda s, d: df, E.oracle_sql()[name], con_small)
     assert not problems, problems
 
 
