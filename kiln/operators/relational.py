@@ -102,7 +102,9 @@ def top_k_per_group(
     ``rank <= k`` filter lets Spark insert a ``WindowGroupLimit`` both before
     and after the shuffle: every task keeps only its local top-k ranks per
     group (a superset of the global ones), so a hot group ships at most
-    k distinct values (plus ties) per task instead of all its rows.
+    k distinct values (plus ties) per task instead of all its rows.  Spark
+    adds the limit for ``k`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``
+    (1000 by default); a larger ``k`` falls back to a plain window.
     """
     w = Window.partitionBy(*partition_by).orderBy(order_by)
     return df.withColumn(rank_col, F.dense_rank().over(w)).where(F.col(rank_col) <= k)
