@@ -42,3 +42,12 @@ def test_query_matches_oracle_sf001(spark, name):
         pytest.skip("not registered")
     problems, _, _ = compare(spark, SF_ORACLE, name, E.queries()[name], E.oracle_sql()[name])
     assert not problems, problems
+
+
+def test_every_query_names_its_survey_ids():
+    import re
+
+    for name, fn in E.queries().items():
+        doc = fn.__doc__ or ""
+        m = re.match(r"\[([A-Z]\d+(?:-R?\d+)?(?:, [A-Z]\d+(?:-R?\d+)?)*)\]", doc)
+        assert m, f"{name} lacks its operator ids"
