@@ -232,3 +232,21 @@ def test_merge_on_zoned_timestamp_and_boolean_keys(spark, scratch):
     b = SnapshotTable.write(spark.createDataFrame([(True, 1), (False, 2)], "k boolean, v int"), scratch + "-b")
     b.merge_upsert(spark.createDataFrame([(True, 5)], "k boolean, v int"), "k")
     assert sorted(tuple(r) for r in b.read().collect()) == [(False, 2), (True, 5)]
+
+
+def test_write_modes_on_existing_table(spark, table):
+    same = spark.createDataFrame([(7, 1, 1.0, "Z")], SCHEMA)
+    SnapshotTable.write(same, table.root, mode="overwrite")
+    t = SnapshotTable.for_path(spark, table.root)
+    assert rows(t.read()) == [(7, 1, 1.0, "Z")] and t.read(0).count() == 4  # old version kept
+    other = spark.createDataFrame([(1, "x")], "a long, b string")
+    with pytest.raises(SchemaMismatchError):
+        SnapshotTable.write(other, table.root, mode="overwrite")
+    SnapshotTable.write(other, table.root, mode="overwrite", overwrite_schema=True)
+    t.refresh()
+    assert t.read().columns == ["a", "b"] and t.read(1).columns == ["loan_id", "funded_amnt", "paid_amnt", "addr_state"]
+    with pytest.raises(TableError):
+        SnapshotTable.write(other, table.root, mode="errorifexists")
+    SnapshotTable.write(other, table.root, mode="append")
+    assert t.refresh().read().count() == 2
+    assert [r["operation"] for r in t.history().collect()] == ["WRITE"] * 4
