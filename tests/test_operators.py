@@ -321,3 +321,21 @@ def test_broadcast_bound_counts_bytes(spark):
     fact = spark.range(1000).withColumnRenamed("id", "k")
     j = joins.join_dimension(fact, wide, F.col("k") == F.col("id"), max_broadcast_bytes=50_000)
     assert "BroadcastHashJoin" not in plan_text(j) or j.count() == 100  # not hinted; planner decides
+
+
+def test_whole_table_sql_sort_is_spread(spark):
+    text = plan_text(E.queries()["sql_case_buckets"](spark, SF_SMALL))
+    assert "rangepartitioning" in text and "monotonically_increasing_id" in text
+
+
+def test_dimension_broadcast_comes_from_the_checked_hint(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(E.queries()["join_dimension"](spark, SF_SMALL))
+        assert "BroadcastHashJoin" in plan_text(E.queries()["join_dimension_sql"](spark, SF_SMALL))
+        sup = spark.read.parquet(f"{SF_SMALL}/supplier.parquet")
+        nat = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+        plain = sup.join(nat, sup.s_nationkey == nat.n_nationkey)
+        assert "BroadcastHashJoin" not in plan_text(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
