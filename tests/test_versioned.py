@@ -250,3 +250,22 @@ def test_write_modes_on_existing_table(spark, table):
     SnapshotTable.write(other, table.root, mode="append")
     assert t.refresh().read().count() == 2
     assert [r["operation"] for r in t.history().collect()] == ["WRITE"] * 4
+
+
+def test_append_retries_after_losing_a_commit_race(spark, table):
+    stale = SnapshotTable.for_path(spark, table.root)
+    stale.snapshot()  # caches version 0
+    table.append(spark.createDataFrame([(5, 1, 1.0, "A")], SCHEMA))  # the other writer wins version 1
+    v = stale.append(spark.createDataFrame([(6, 1, 1.0, "B")], SCHEMA))
+    assert v == 2
+    got = sorted(r["loan_id"] for r in SnapshotTable.for_path(spark, table.root).read().collect())
+    assert got == [1, 2, 3, 4, 5, 6]  # neither append lost
+
+
+def test_dml_on_a_stale_handle_fails_instead_of_overwriting(spark, table):
+    stale = SnapshotTable.for_path(spark, table.root)
+    stale.snapshot()
+    table.append(spark.createDataFrame([(5, 1, 1.0, "A")], SCHEMA))
+    with pytest.raises(ConcurrentCommitError):
+        stale.delete("loan_id = 1")
+    assert SnapshotTable.for_path(spark, table.root).read().count() == 5
