@@ -1,4 +1,4 @@
-"""Every catalogue query against its DuckDB oracle (values, names, row count)."""
+"""Every catalogue query against its DuckDB oracle (values, names, types, row count, no Python in the plan)."""
 
 import pytest
 
