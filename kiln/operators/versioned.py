@@ -73,6 +73,7 @@ LOG_SCHEMA = StructType(
 _FILE = "__kiln_file"
 _HISTORY_COLS = ("version", "timestamp", "operation", "num_added_files", "num_removed_files", "stream_id", "batch_id")
 _APPEND_RETRIES = 5
+_STREAM_LOOKBACK = 64  # commit records read first when checking a replayed batch
 # Fixed format value: versions divisible by this carry their full file list.
 CHECKPOINT_EVERY = 10
 _SEP = "\n"  # file paths never contain a newline
@@ -121,12 +122,12 @@ class SnapshotTable:
         # start from it; a commit that races another writer fails on the
         # version directory, so a stale cache can never overwrite a version.
         self._latest: Snapshot | None = None
-        self._stream_batches: set[tuple[str, int]] | None = None
+        self._stream_batches: dict[str, int] = {}  # stream id -> highest committed batch
 
     def refresh(self) -> "SnapshotTable":
         """Forget cached metadata; the next call reads the commit log."""
         self._latest = None
-        self._stream_batches = None
+        self._stream_batches = {}
         return self
 
     # ------------------------------------------------------------ opening
@@ -299,15 +300,31 @@ class SnapshotTable:
                 raise ConcurrentCommitError(f"version {version} of {self.root} was committed concurrently") from e
             raise
         self._latest = Snapshot(version, schema, tuple(files))
-        if stream_id is not None and batch_id is not None and self._stream_batches is not None:
-            self._stream_batches.add((stream_id, int(batch_id)))
+        if stream_id is not None and batch_id is not None:
+            self._stream_batches[stream_id] = max(int(batch_id), self._stream_batches.get(stream_id, -1))
         return version
 
     def _batch_committed(self, stream_id: str, batch_id: int) -> bool:
-        if self._stream_batches is None:
-            done = self._log().where(F.col("stream_id").isNotNull()).select("stream_id", "batch_id").collect()
-            self._stream_batches = {(r[0], int(r[1])) for r in done}
-        return (stream_id, int(batch_id)) in self._stream_batches
+        """Whether ``batch_id`` of ``stream_id`` is already in the table.
+
+        A stream commits its batches in increasing order, so the question is
+        whether ``batch_id`` is at most the stream's highest committed batch.
+        That is found in the newest few commit records (the replayed batch is
+        the stream's last one); only a stream that has not written for a long
+        time needs the whole log.
+        """
+        if stream_id not in self._stream_batches:
+            known = self.versions()
+            recent = known[-_STREAM_LOOKBACK:]
+            for window in (recent, known) if len(recent) < len(known) else (recent,):
+                if not window:
+                    break
+                got = self._log(window).where(F.col("stream_id") == stream_id).agg(F.max("batch_id")).first()[0]
+                if got is not None:
+                    self._stream_batches[stream_id] = int(got)
+                    break
+            self._stream_batches.setdefault(stream_id, -1)
+        return int(batch_id) <= self._stream_batches[stream_id]
 
     def _files_scan(self, snap: Snapshot, cond: Column) -> DataFrame:
         """Distinct names of the files holding rows where ``cond`` is true.

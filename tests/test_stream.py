@@ -63,3 +63,21 @@ def test_bounded_batches_all_rows_once(spark, scratch):
     stream_files_into_table(spark, inbox, table, ckpt, max_files_per_trigger=1)
     assert table.read().count() == 15
     assert sum(r["operation"] == "STREAMING UPDATE" for r in table.history().collect()) == 3
+
+
+def test_replay_check_after_restart_uses_recent_records(spark, scratch, monkeypatch):
+    import kiln.operators.versioned as V
+
+    monkeypatch.setattr(V, "_STREAM_LOOKBACK", 2)
+    t = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
+    b = spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA)
+    t.append(b, stream_id="old", batch_id=0)
+    for i in range(3):  # other writes push the old stream out of the recent window
+        t.append(b)
+    t.append(b, stream_id="s", batch_id=0)
+    t.append(b, stream_id="s", batch_id=1)
+    fresh = SnapshotTable.for_path(spark, t.root)  # a restarted driver
+    assert fresh._batch_committed("s", 1) and fresh._batch_committed("s", 0)
+    assert not fresh._batch_committed("s", 2)
+    assert fresh._batch_committed("old", 0) and not fresh._batch_committed("old", 1)
+    assert not fresh._batch_committed("new", 0)
