@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .quality import op6_quality_rules
+from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op5_toxicity, op6_quality_rules)}
 ORACLE: dict[str, str] = {}

@@ -67,13 +67,20 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix(np.add.reduceat(prod, first) + lens.astype(np.uint64))
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, row) of the runs of bytes other than ASCII white space."""
+#: ASCII letters in lower case; other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+#: Bytes that separate alphanumeric tokens: ASCII other than letters and digits.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words(data: np.ndarray, off: np.ndarray, gaps: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row) of the runs of bytes that ``gaps`` does not mark (ASCII white space)."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    ink = ~_WS[data]
+    ink = ~gaps[data]
     begin = ink.copy()
     begin[1:] &= ~ink[:-1]
     edge = off[1:-1]
