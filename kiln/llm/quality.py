@@ -138,6 +138,7 @@ def chi2_quantile(q_normal: float, p: int) -> float:
 #: Distances beyond this are outliers: chi-square with P degrees at 4 deviates.
 CUTOFF = chi2_quantile(4.0, P)
 SHARE = 0.65  # share of a group that the C-steps keep
+SALTS = 32  # parts of a group in joins of rows with group estimates
 MEDIAN_CHI2 = chi2_quantile(0.0, P)
 
 _FIT_TYPE = "struct<centre:array<double>,inverse:array<double>,logdet:double>"
@@ -232,13 +233,22 @@ def fit_groups(
         )
     )
     g = ["g_lang", "g_source"]
-    rows = cut(rows.join(pools, ["lang_key", "source_key"]).select(*g, *x))
+    # rows carry a salt and small tables hold a line per salt, so a join never
+    # meets a whole group in one task, and sums are made partially after it
+    salt = F.pmod(F.hash(*x), F.lit(SALTS)).alias("salt")
+
+    def per_salt(small_table: DataFrame) -> DataFrame:
+        return small_table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+    rows = rows.select("*", salt).join(per_salt(pools), ["lang_key", "source_key", "salt"])
+    rows = cut(rows.select(*g, F.pmod(F.hash(*x), F.lit(SALTS)).alias("salt"), *x))
+    gs = [*g, "salt"]
 
     def quantile(c: Column, share: float) -> Column:
         return F.percentile_approx(c, F.lit(share), F.lit(2000))
 
     med = cut(rows.groupBy(*g).agg(*[quantile(c, 0.5).alias(f"m{i}") for i, c in enumerate(x)]))
-    centred = rows.join(med, g)
+    centred = rows.join(per_salt(med), gs)
     mads = centred.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.first(f"m{i}") for i in range(P)]).alias("first"),
@@ -249,7 +259,7 @@ def fit_groups(
     z = [(x[i] - F.col("fit.centre")[i]) * F.sqrt(F.col("fit.inverse")[i * P + i]) for i in range(P)]
     length = F.greatest(F.sqrt(sum((c * c for c in z), F.lit(0.0))), F.lit(1e-9))
     sign = [c / length / F.sqrt(F.col("fit.inverse")[i * P + i]) * math.sqrt(P) for i, c in enumerate(z)]
-    signs = rows.join(by_mad, g).select(*g, F.col("fit.centre").alias("mid"), *[c.alias(f"x{i}") for i, c in enumerate(sign)])
+    signs = rows.join(per_salt(by_mad), gs).select(*g, F.col("fit.centre").alias("mid"), *[c.alias(f"x{i}") for i, c in enumerate(sign)])
     by_sign = (
         signs.groupBy(*g)
         .agg(*_moments(x), F.first("mid").alias("mid"))
@@ -259,15 +269,15 @@ def fit_groups(
     fits = cut(by_mad.unionByName(by_sign))
     key = [*g, "start"]
     for _ in range(steps):
-        near = rows.join(fits, g).withColumn("d2", squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")))
+        near = rows.join(per_salt(fits), gs).withColumn("d2", squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")))
         limit = cut(near.groupBy(*key).agg(quantile(F.col("d2"), SHARE).alias("most")))
-        kept = near.join(limit, key).where(F.col("d2") <= F.col("most"))
+        kept = near.join(per_salt(limit), [*key, "salt"]).where(F.col("d2") <= F.col("most"))
         sums = kept.groupBy(*key).agg(*_moments(x))
         fits = cut(sums.select(*key, _solve("moments")("n", "first", "second").alias("fit")))
     # of the two starts, the one with the smaller determinant
     best = fits.groupBy(*g).agg(F.min_by("fit", F.struct("fit.logdet", "start")).alias("fit"))
     best = cut(best)
-    spread = rows.join(best, g).groupBy(*g).agg(
+    spread = rows.join(per_salt(best), gs).groupBy(*g).agg(
         quantile(squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")), 0.5).alias("mid_d2")
     )
     out = pools.join(best, g).join(spread, g)
@@ -282,7 +292,11 @@ def judge(df: DataFrame, fits: DataFrame, stats: str = "stats", by: tuple[str, s
     names = {c: fresh(f"fit_{c}", df) for c in ("lang_key", "source_key", "centre", "inverse", "scale")}
     f = fits.select(*[F.col(c).alias(n) for c, n in names.items()])
     lang, source = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in by)
-    out = df.join(f, (lang == F.col(names["lang_key"])) & (source == F.col(names["source_key"])), "left")
+    names["salt"] = fresh("fit_salt", df)
+    f = f.withColumn(names["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.hash(s), F.lit(SALTS))
+    same = (lang == F.col(names["lang_key"])) & (source == F.col(names["source_key"])) & (salt == F.col(names["salt"]))
+    out = df.join(f, same, "left")
     d2 = squared_distance(feature_columns(s), F.col(names["centre"]), F.col(names["inverse"])) / F.col(names["scale"])
     d2 = F.when(~base_failed(s), d2)
     return out.withColumn(distance, d2).withColumn(kept, F.coalesce(F.col(distance) <= CUTOFF, F.lit(False))).drop(*names.values())
