@@ -150,34 +150,35 @@ def _set_udf(width: int):
     return F.arrow_udf(sets, returnType="array<bigint>")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) with the smallest node of each component, for edges (u, v).
+def merge_components(comp: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(node, comp) with the smallest node of each component, after adding edges (u, v) to what ``comp`` joins.
 
-    Each round every node takes its smallest neighbour, chains are followed to
-    their end by doubling, and edges are contracted; the number of components
-    in play at least halves each round.
+    Edges are lifted to the components so far.  Then each round every lifted
+    node takes the least label among its own, its neighbours' and its label's
+    label, until nothing changes: two rounds for stars, and chains shrink by
+    doubling.
     """
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    live = cut(both.where("u != v").distinct())
-    label = None
-    while not live.isEmpty():
-        up = cut(live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("comp")))
-        while True:
-            hop = up.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-            new = cut(up.join(hop, "comp", "left").select("node", "comp", F.coalesce("next", "comp").alias("next")))
-            moved = not new.where("comp != next").isEmpty()
-            up = new.select("node", F.col("next").alias("comp"))
-            if not moved:
-                break
-        if label is None:
-            label = up
-        else:
-            step = up.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-            label = cut(label.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
-        a = up.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
-        b = up.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
-        live = cut(live.join(a, "u").join(b, "v").where("cu != cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
-    return label if label is not None else live.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    lifted = edges
+    if comp is not None:
+        a = comp.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
+        b = comp.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
+        lifted = edges.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    both = cut(lifted.union(lifted.select("v", "u")).where("u != v").distinct())
+    label = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("comp")))
+    while True:
+        own = label.select("node", "comp", F.col("comp").alias("old"))
+        near = both.join(label.select(F.col("node").alias("v"), "comp"), "v").select(F.col("u").alias("node"), "comp", F.lit(None).cast("long").alias("old"))
+        hop = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        far = label.join(hop, "comp").select("node", F.col("next").alias("comp"), F.lit(None).cast("long").alias("old"))
+        new = cut(own.union(near).union(far).groupBy("node").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
+        label = new.select("node", "comp")
+        if new.where("comp != old").isEmpty():
+            break
+    if comp is None:
+        return label
+    step = label.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    kept = comp.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return cut(kept.union(label.join(comp, "node", "left_anti")))
 
 
 def _similar(part: Column, whole: Column, percent: int) -> Column:
@@ -218,11 +219,10 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     picked = text.join(wanted.select(F.col("least_id").alias("id")).distinct(), "id").select(sign("text").alias("s"), take("text").alias("shingles"))
     picked = picked.select(F.xxhash64("s.n", "s.fp1", "s.fp2").alias("node"), "shingles")
     sets = cut(picked.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    comp = None
+    comp = None  # (node, comp) of the links found so far
     tested = None
-    links = None
     hubs_each = 1
-    while not members.isEmpty():
+    while True:
         known = members if comp is None else members.join(comp, "node", "left")
         now = known.select("key", "node", "n", (F.col("node") if comp is None else F.coalesce("comp", "node")).alias("comp"))
         part = F.pmod(F.xxhash64("node"), F.lit(hubs_each))
@@ -230,22 +230,21 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
         stars = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), *least).where("c0 != c1")
         stars = stars.select("key", F.filter(F.array(*[f"h{i}" for i in range(hubs_each)]), lambda h: h.isNotNull()).alias("hubs"))
         seen = cut(now.join(stars, "key"))
+        if seen.isEmpty():
+            break
         pairs = seen.select("node", "n", "comp", F.explode("hubs").alias("h")).where("comp != h.comp")
         fits = _similar(F.least("n", "h.n"), F.greatest("n", "h.n"), percent)
         # the hub is the pair's second node, whichever is smaller
         pairs = pairs.where(fits).select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
         if tested is not None:
-            done = tested.select(F.col("u").alias("a"), F.col("v").alias("b")).union(tested.select(F.col("v").alias("a"), F.col("u").alias("b")))
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
         pairs = cut(pairs)
         found = cut(_confirm(pairs, sets, percent))
-        links = found if links is None else cut(links.union(found))
-        comp = components(links)
-        now_tested = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        tested = now_tested if tested is None else cut(tested.union(now_tested))
-        rest = seen.where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("key", "node", "n")
-        members = cut(rest)
-        hubs_each = min(hubs_each * 4, 16)
+        if not found.isEmpty():
+            comp = merge_components(comp, found)
+        tested = pairs if tested is None else tested.union(pairs)
+        members = seen.where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("key", "node", "n")
+        hubs_each = 16 if hubs_each > 1 else 4
     out = rows.select("id", *same)
     home = classes.select(*same, F.col("node").alias("least_id"), "copies", F.xxhash64(*same).alias("node"))
     if comp is not None:
