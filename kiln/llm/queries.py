@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .minhash import op7_minhash
 from .quality import op6_quality_rules
+from .secrets import op4_secrets
 from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op5_toxicity, op6_quality_rules, op7_minhash)}
+QUERIES = {f.__name__: f for f in (op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash)}
 ORACLE: dict[str, str] = {}
