@@ -18,8 +18,9 @@ similarity exactly 0.8 shares no bucket is (1 - 0.8**6)**45, about 1e-6.
 
 Defined results: null texts and texts without words have an empty set and link
 with nothing; a text with fewer words than a shingle has one shingle, all its
-words; repeated rows and repeated ids with equal texts share a class; a null id
-joins a class but never names a component; an empty table gives an empty
+words; repeated rows share a class, and texts that come under one id, where it is the
+smallest of their classes, are one node; a null id joins a class but never
+names a component; an empty table gives an empty
 result; extra columns are not read.
 """
 
@@ -36,7 +37,7 @@ from .common import by_value, cut, fresh, text_or_empty
 ROWS, BANDS = 6, 45
 BINS = ROWS * BANDS
 ATTEMPTS = 64
-SALTS = 64
+HUBS = 16  # hubs a bucket gets in each round after the first
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,35 +151,34 @@ def _set_udf(width: int):
     return F.arrow_udf(sets, returnType="array<bigint>")
 
 
-def merge_components(comp: DataFrame | None, edges: DataFrame) -> DataFrame:
-    """(node, comp) with the smallest node of each component, after adding edges (u, v) to what ``comp`` joins.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, comp) with the smallest node of each component of the edges (u, v).
 
-    Edges are lifted to the components so far.  Then each round every lifted
-    node takes the least label among its own, its neighbours' and its label's
-    label, until nothing changes: two rounds for stars, and chains shrink by
-    doubling.
+    Each round every node takes its smallest neighbour, chains are followed to
+    their end by doubling, and edges are contracted; the number of components
+    in play at least halves each round.  Stars take one round.
     """
-    lifted = edges
-    if comp is not None:
-        a = comp.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
-        b = comp.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
-        lifted = edges.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
-    both = cut(lifted.union(lifted.select("v", "u")).where("u != v").distinct())
-    label = cut(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("comp")))
+    live = cut(edges.union(edges.select("v", "u")).where("u != v").distinct())
+    label = None
     while True:
-        own = label.select("node", "comp", F.col("comp").alias("old"))
-        near = both.join(label.select(F.col("node").alias("v"), "comp"), "v").select(F.col("u").alias("node"), "comp", F.lit(None).cast("long").alias("old"))
-        hop = label.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        far = label.join(hop, "comp").select("node", F.col("next").alias("comp"), F.lit(None).cast("long").alias("old"))
-        new = cut(own.union(near).union(far).groupBy("node").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
-        label = new.select("node", "comp")
-        if new.where("comp != old").isEmpty():
-            break
-    if comp is None:
-        return label
-    step = label.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    kept = comp.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
-    return cut(kept.union(label.join(comp, "node", "left_anti")))
+        up = cut(live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select("node", F.least("node", "low").alias("comp")))
+        while True:
+            hop = up.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+            new = cut(up.join(hop, "comp").select("node", "comp", "next"))
+            moved = not new.where("comp != next").isEmpty()
+            up = new.select("node", F.col("next").alias("comp"))
+            if not moved:
+                break
+        if label is None:
+            label = up
+        else:
+            step = up.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+            label = cut(label.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+        a = up.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
+        b = up.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
+        live = cut(live.join(a, "u").join(b, "v").where("cu != cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
+        if live.isEmpty():
+            return label
 
 
 def _similar(part: Column, whole: Column, percent: int) -> Column:
@@ -188,12 +188,13 @@ def _similar(part: Column, whole: Column, percent: int) -> Column:
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    A hub may be in very many pairs: its set goes to (hub, salt) lines, as many
-    as are in use, so no task meets all of a hub's pairs.
+    The member's set is joined first: members are in few pairs.  The join on
+    the hub, who may be in very many, then has rows as large as their sets, and
+    Spark splits its large partitions (adaptive skew join).
     """
-    p = pairs.withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
-    hubs = p.select("b", "salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    full = p.join(hubs, ["b", "salt"]).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    sa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    sb = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    full = pairs.join(sa, "a").join(sb, "b")
     both = full.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
     return both.where(_similar(F.col("common"), F.col("na") + F.col("nb") - F.col("common"), percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -205,58 +206,42 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     sign = _sign_udf(width)
     rows = cut(text.select("id", sign("text").alias("s")).select("id", "s.*"))
     same = ["n", "fp1", "fp2"]
-    # one representative per class of equal sets; classes without any id stand alone
+    # one representative per class of equal sets: its smallest id
     classes = rows.where("n > 0").groupBy(*same).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
     classes = cut(classes.where(F.col("node").isNotNull()))
-    # an id that comes with several texts is a node of several classes: nodes are classes, named by a hash
-    nodes = classes.select(*same, F.col("node").alias("least_id"), F.xxhash64(*same).alias("node"), "copies", "bands")
-    entries = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
-    members = cut(entries.join(shared, "key"))
-    wanted = cut(members.select("node").distinct().join(nodes.select("node", "least_id", *same), "node"))
-    take = _set_udf(width)
-    # ids of the representatives pick the texts; an id with several texts is told apart by its set
-    picked = text.join(wanted.select(F.col("least_id").alias("id")).distinct(), "id").select(sign("text").alias("s"), take("text").alias("shingles"))
-    picked = picked.select(F.xxhash64("s.n", "s.fp1", "s.fp2").alias("node"), "shingles")
-    sets = cut(picked.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    comp = None  # (node, comp) of the links found so far
-    tested = None
-    hubs_each = 1
-    while True:
-        known = members if comp is None else members.join(comp, "node", "left")
-        now = known.select("key", "node", "n", (F.col("node") if comp is None else F.coalesce("comp", "node")).alias("comp"))
-        part = F.pmod(F.xxhash64("node"), F.lit(hubs_each))
-        least = [F.min(F.when(part == i, F.struct("node", "n", "comp"))).alias(f"h{i}") for i in range(hubs_each)]
-        stars = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), *least).where("c0 != c1")
-        stars = stars.select("key", F.filter(F.array(*[f"h{i}" for i in range(hubs_each)]), lambda h: h.isNotNull()).alias("hubs"))
-        seen = cut(now.join(stars, "key"))
-        if seen.isEmpty():
-            break
+    entries = classes.select(F.explode("bands").alias("key"), "node", "n")
+    hub = F.min(F.struct("node", "n", F.col("node").alias("comp"))).alias("h")
+    stars = entries.groupBy("key").agg(hub, F.count(F.lit(1)).alias("members")).where("members > 1").select("key", F.array("h").alias("hubs"))
+    seen = cut(entries.join(stars, "key").withColumn("comp", F.col("node")))
+    wanted = seen.select(F.col("node").alias("id")).distinct()
+    sets = cut(text.join(wanted, "id").select(F.col("id").alias("node"), _set_udf(width)("text").alias("shingles")).distinct())
+    comp, links = None, None
+    while not seen.isEmpty():
+        # pairs inside a component need no test
         pairs = seen.select("node", "n", "comp", F.explode("hubs").alias("h")).where("comp != h.comp")
         fits = _similar(F.least("n", "h.n"), F.greatest("n", "h.n"), percent)
         # the hub is the pair's second node, whichever is smaller
         pairs = pairs.where(fits).select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.union(tested.select("b", "a")), ["a", "b"], "left_anti")
-        pairs = cut(pairs)
         found = cut(_confirm(pairs, sets, percent))
         if not found.isEmpty():
-            comp = merge_components(comp, found)
-        tested = pairs if tested is None else tested.union(pairs)
-        members = seen.where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("key", "node", "n")
-        hubs_each = 16 if hubs_each > 1 else 4
-    out = rows.select("id", *same)
-    home = classes.select(*same, F.col("node").alias("least_id"), "copies", F.xxhash64(*same).alias("node"))
-    if comp is not None:
-        named = comp.join(home.select("node", "least_id"), "node")
-        names = named.groupBy("comp").agg(F.min("least_id").alias("name"))
-        named = named.join(names, "comp").select("node", "name")
-        home = home.join(named, "node", "left")
-        home = home.select(*same, "copies", F.coalesce("name", "least_id").alias("name"), F.col("name").isNotNull().alias("linked"))
-        home = home.where((F.col("copies") > 1) | F.col("linked"))
+            links = found if links is None else links.union(found)
+            comp = components(links)
+        left = seen.where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("key", "node", "n")
+        if comp is None:
+            now = left.withColumn("comp", F.col("node"))
+        else:
+            now = left.join(comp, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        part = F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("part")
+        firsts = now.groupBy("key", part).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("node", "n", "comp")).alias("h"))
+        stars = firsts.groupBy("key").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"), F.collect_list("h").alias("hubs"))
+        seen = cut(now.join(stars.where("c0 != c1").select("key", "hubs"), "key"))
+    home = classes.select(*same, "node", "copies")
+    if links is None:
+        home = home.where("copies > 1").select(*same, F.col("node").alias("name"))
     else:
-        home = home.where("copies > 1").select(*same, F.col("least_id").alias("name"))
-    out = out.join(home.select(*same, "name"), same, "left")
+        home = home.join(comp, "node", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
+        home = home.select(*same, F.coalesce("comp", "node").alias("name"))
+    out = rows.select("id", *same).join(home, same, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("name", "id").alias("component_id"))
 
 
