@@ -7,7 +7,8 @@ from .minhash import op7_minhash
 from .packing import op2_best_fit_packing
 from .quality import op6_quality_rules
 from .secrets import op4_secrets
+from .slots import op10_virtual_slots
 from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_byte_bpe, op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_byte_bpe, op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash, op10_virtual_slots)}
 ORACLE: dict[str, str] = {}
