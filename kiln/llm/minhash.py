@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ from .common import by_value, cut, fresh, text_or_empty
 ROWS, BANDS = 6, 45
 BINS = ROWS * BANDS
 ATTEMPTS = 64
-HUBS = 16  # hubs a bucket gets in each round after the first
+SKETCHED = 300  # shingles from which on sketches may rule a pair out
+HUBS = 256  # most hubs a bucket gets in a round: 1, 16, 256, 256, ...
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,12 +72,8 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndar
     return r[new], h[new]
 
 
-def signatures(row: np.ndarray, h: np.ndarray, n: int, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
-    """n x bands band hashes from sorted distinct shingle hashes; rows without shingles hold zeros."""
-    bins = rows * bands
-    out = np.zeros((n, bands), np.uint64)
-    if not len(h):
-        return out
+def bin_values(row: np.ndarray, h: np.ndarray, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
+    """(rows that have shingles, their bins' values) from sorted distinct shingle hashes, empty bins filled."""
     bin_of = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     key = row * bins + bin_of
     first = np.ones(len(h), bool)
@@ -102,6 +100,15 @@ def signatures(row: np.ndarray, h: np.ndarray, n: int, rows: int = ROWS, bands:
         left = np.flatnonzero(~done[i])
         place = (ts.mix(left.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)) % np.uint64(bins)).astype(np.int64)
         value[i, left] = own[i, filled[np.searchsorted(filled, place) % len(filled)]]
+    return live, value
+
+
+def signatures(row: np.ndarray, h: np.ndarray, n: int, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    """n x bands band hashes from sorted distinct shingle hashes; rows without shingles hold zeros."""
+    out = np.zeros((n, bands), np.uint64)
+    if not len(h):
+        return out
+    live, value = bin_values(row, h, rows * bands)
     mult = ts.multipliers(rows, seed=21)
     salt = ts.multipliers(bands, seed=22)
     value = value.reshape(len(live), bands, rows)
@@ -140,15 +147,31 @@ def _sign_udf(width: int):
 
 def _set_udf(width: int):
     def sets(col: pa.Array) -> pa.Array:
-        parts, counts = [], [np.zeros(1, np.int64)]
+        parts, counts, sketches = [], [np.zeros(1, np.int64)], []
         for lo, hi, data, off in ts.slices(col):
             row, h = shingle_sets(data, off, width)
             parts.append(h.view(np.int64))
             counts.append(np.bincount(row, minlength=hi - lo))
+            sketch = np.zeros((hi - lo, BINS), np.uint8)
+            if len(h):
+                live, value = bin_values(row, h)
+                sketch[live] = (ts.mix(value) & np.uint64(255)).astype(np.uint8)
+            sketches += [x.tobytes() for x in sketch]
         offsets = np.cumsum(np.concatenate(counts)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+        shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+        return pa.StructArray.from_arrays([shingles, pa.array(sketches, pa.binary())], names=["shingles", "sketch"])
+
+    return F.arrow_udf(sets, returnType="struct<shingles:array<bigint>,sketch:binary>")
+
 
-    return F.arrow_udf(sets, returnType="array<bigint>")
+def _agreeing() -> Column:
+    """Arrow function: number of equal bytes of two sketches."""
+
+    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(c), -1) for c in (a, b))
+        return pa.array((x == y).sum(axis=1), pa.int32())
+
+    return F.arrow_udf(agree, returnType="int")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -188,20 +211,29 @@ def _similar(part: Column, whole: Column, percent: int) -> Column:
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    The member's set is joined first: members are in few pairs.  The join on
-    the hub, who may be in very many, then has rows as large as their sets, and
-    Spark splits its large partitions (adaptive skew join).
+    Sizes that differ too much, and for sets of SKETCHED shingles or more
+    sketches that agree in less than the similarity less 0.15 of their bins
+    (over six standard deviations), save the comparison.  The member's set is
+    joined first: members are in few pairs.  The join on the hub, who may be in
+    very many, then has rows as large as their sets, and Spark splits its large
+    partitions (adaptive skew join).
     """
-    sa = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    hub = sets.select(F.col("node").alias("b"), F.size("shingles").alias("nb"), F.col("sketch").alias("kb"))
+    sa = sets.select(F.col("node").alias("a"), F.size("shingles").alias("na"), F.col("sketch").alias("ka"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    full = pairs.join(sa, "a").join(sb, "b")
-    both = full.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-    return both.where(_similar(F.col("common"), F.col("na") + F.col("nb") - F.col("common"), percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    near = pairs.join(hub, "b").join(sa, "a").where(_similar(F.least("na", "nb"), F.greatest("na", "nb"), percent))
+    small = F.least("na", "nb") < SKETCHED
+    near = near.withColumn("agree", _agreeing()("ka", "kb")).where(small | (100 * F.col("agree") >= (percent - 15) * BINS))
+    full = near.select("a", "b", "na", "sa").join(sb, "b")
+    both = full.select("a", "b", "na", F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    linked = both.where(_similar(F.col("common"), F.col("na") + F.col("nb") - F.col("common"), percent))
+    return linked.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
 @by_value
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``df``: components of texts linked at ``percent`` similarity of ``width``-word shingles."""
+    spark = df.sparkSession
     text = df.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     sign = _sign_udf(width)
     rows = cut(text.select("id", sign("text").alias("s")).select("id", "s.*"))
@@ -209,32 +241,39 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     # one representative per class of equal sets: its smallest id
     classes = rows.where("n > 0").groupBy(*same).agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
     classes = cut(classes.where(F.col("node").isNotNull()))
-    entries = classes.select(F.explode("bands").alias("key"), "node", "n")
-    hub = F.min(F.struct("node", "n", F.col("node").alias("comp"))).alias("h")
-    stars = entries.groupBy("key").agg(hub, F.count(F.lit(1)).alias("members")).where("members > 1").select("key", F.array("h").alias("hubs"))
-    seen = cut(entries.join(stars, "key").withColumn("comp", F.col("node")))
-    wanted = seen.select(F.col("node").alias("id")).distinct()
-    sets = cut(text.join(wanted, "id").select(F.col("id").alias("node"), _set_udf(width)("text").alias("shingles")).distinct())
-    comp, links = None, None
-    while not seen.isEmpty():
-        # pairs inside a component need no test
-        pairs = seen.select("node", "n", "comp", F.explode("hubs").alias("h")).where("comp != h.comp")
-        fits = _similar(F.least("n", "h.n"), F.greatest("n", "h.n"), percent)
-        # the hub is the pair's second node, whichever is smaller
-        pairs = pairs.where(fits).select(F.col("node").alias("a"), F.col("h.node").alias("b")).distinct()
+    entries = classes.select(F.explode("bands").alias("key"), "node")
+    shared = entries.groupBy("key").agg(F.min("node").alias("h"), F.max("node").alias("last")).where("h != last").select("key")
+    members = cut(entries.join(shared, "key"))
+    wanted = members.select(F.col("node").alias("id")).distinct()
+    sets = text.join(wanted, "id").select(F.col("id").alias("node"), _set_udf(width)("text").alias("s")).select("node", "s.*")
+    # stored once, and kept dealt by node for the joins of all rounds: a round
+    # moves its pairs, not the sets; lost parts are dealt again from what is stored
+    sets = cut(sets.distinct())
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.MEMORY_AND_DISK)
+    comp, links, hubs_each = None, None, 1
+    while True:
+        if comp is None:
+            now = members.withColumn("comp", F.col("node"))
+        else:
+            now = members.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        part = F.pmod(F.xxhash64("node"), F.lit(hubs_each)).alias("part")
+        firsts = now.groupBy("key", part).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("node", "comp")).alias("h"))
+        firsts = cut(firsts)
+        mixed = firsts.groupBy("key").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).where("c0 != c1").select("key")
+        hubs = cut(firsts.join(mixed, "key").select("key", F.col("h.node").alias("b"), F.col("h.comp").alias("hub_comp")))
+        if hubs.isEmpty():
+            break
+        # the hub is the pair's second node, whichever is smaller; pairs inside a component need no test
+        pairs = now.join(hubs, "key").where("comp != hub_comp").select(F.col("node").alias("a"), "b").distinct()
         found = cut(_confirm(pairs, sets, percent))
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             comp = components(links)
-        left = seen.where(~F.exists("hubs", lambda h: h["node"] == F.col("node"))).select("key", "node", "n")
-        if comp is None:
-            now = left.withColumn("comp", F.col("node"))
-        else:
-            now = left.join(comp, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        part = F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("part")
-        firsts = now.groupBy("key", part).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("node", "n", "comp")).alias("h"))
-        stars = firsts.groupBy("key").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"), F.collect_list("h").alias("hubs"))
-        seen = cut(now.join(stars.where("c0 != c1").select("key", "hubs"), "key"))
+        rest = members.join(hubs.select("key").distinct(), "key", "left_semi")
+        members = cut(rest.join(hubs.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti"))
+        hubs_each = min(hubs_each * 16, HUBS)
+    sets.unpersist()
     home = classes.select(*same, "node", "copies")
     if links is None:
         home = home.where("copies > 1").select(*same, F.col("node").alias("name"))
