@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op1_nn_descent
 from .bpe import op3_byte_bpe
 from .minhash import op7_minhash
 from .packing import op2_best_fit_packing
@@ -12,5 +13,5 @@ from .slots import op10_virtual_slots
 from .toxicity import op5_toxicity
 from .urlgraph import op9_url_graph
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_byte_bpe, op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash, op8_html_blocks, op9_url_graph, op10_virtual_slots)}
+QUERIES = {f.__name__: f for f in (op1_nn_descent, op2_best_fit_packing, op3_byte_bpe, op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash, op8_html_blocks, op9_url_graph, op10_virtual_slots)}
 ORACLE: dict[str, str] = {}
