@@ -90,8 +90,9 @@ def rebalance(old: DataFrame, sums: DataFrame, shards: int, slack: float = 0.01)
     whole = was.groupBy("slot").agg(F.min("old_shard").alias("slot_shard"))
     both = sums.join(was.drop("version"), ["slot", "part"], "left").join(whole, "slot", "left")
     keep = F.coalesce("old_shard", "slot_shard", F.lit(-1))
-    # kept slots first, largest first, so that what moves is small
-    item = F.struct((keep < 0).alias("new"), (-F.col("bytes")).alias("order"), "slot", "part", "bytes", keep.alias("old"))
+    # known slots first, in hash order, so that large and small ones move alike
+    order = F.when(keep < 0, -F.col("bytes")).otherwise(F.xxhash64("slot", "part")).alias("order")
+    item = F.struct((keep < 0).alias("new"), order, "slot", "part", "bytes", keep.alias("old"))
     one = both.agg(F.sort_array(F.collect_list(item)).alias("items"), (F.sum("bytes") * ((1 + slack) / shards)).alias("share"))
     zero, step = _fold(
         F.array_repeat(F.lit(0).cast("long"), shards),
