@@ -1,8 +1,7 @@
 """kiln: reusable Spark DataFrame operators for scans, relational work,
-versioned Parquet tables and file streams.
+changes of Parquet tables and file streams.
 
-Every operator is a function over ``DataFrame`` objects (or a small class
-around a table path).  Nothing here builds a ``SparkSession`` or changes its
+Every operator is a function over ``DataFrame`` objects.  Nothing here builds a ``SparkSession`` or changes its
 settings, apart from :func:`kiln.session.local_session`, which tests and the
 bench use.
 """

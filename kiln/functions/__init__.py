@@ -1,6 +1,6 @@
 """Column-expression helpers (no UDFs)."""
 
-from kiln.functions.rules import delay_bucket, high_usage, on_time_status, usage_cost
+from kiln.functions.rules import high_usage, price_status_sql, quantity_band, quantity_band_sql, usage_cost
 from kiln.functions.temporal import (
     compact_date_text,
     compact_to_timestamp,
@@ -11,6 +11,6 @@ from kiln.functions.temporal import (
 )
 
 __all__ = [
-    "delay_bucket", "high_usage", "on_time_status", "usage_cost",
+    "high_usage", "price_status_sql", "quantity_band", "quantity_band_sql", "usage_cost",
     "compact_date_text", "compact_to_timestamp", "format_timestamp", "month_from_text", "parse_timestamp", "year_of",
 ]

@@ -1,6 +1,6 @@
-"""Relational operators, joins and versioned tables."""
+"""Relational operators, joins, and append, update, delete and merge."""
 
-from kiln.operators.joins import broadcast_if_bounded, join_dimension, join_on_keys, row_count_at_most, size_at_most
+from kiln.operators.joins import cached, join_dimension, join_on_keys
 from kiln.operators.relational import (
     count_distinct,
     distinct_values,
@@ -13,20 +13,12 @@ from kiln.operators.relational import (
     top_k,
     top_k_per_group,
     union_all,
-    union_by_name,
-)
-from kiln.operators.versioned import (
-    ConcurrentCommitError,
-    MergeConflictError,
-    SchemaMismatchError,
-    Snapshot,
-    SnapshotTable,
-    TableError,
 )
+from kiln.operators.tables import SchemaMismatchError, append, append_files, check_schema, delete, merge, update
 
 __all__ = [
-    "broadcast_if_bounded", "join_dimension", "join_on_keys", "row_count_at_most", "size_at_most",
+    "cached", "join_dimension", "join_on_keys",
     "count_distinct", "distinct_values", "first_row", "global_stats", "group_count", "group_sum",
-    "pivot_agg", "sort_spread", "top_k", "top_k_per_group", "union_all", "union_by_name",
-    "ConcurrentCommitError", "MergeConflictError", "SchemaMismatchError", "Snapshot", "SnapshotTable", "TableError",
+    "pivot_agg", "sort_spread", "top_k", "top_k_per_group", "union_all",
+    "SchemaMismatchError", "append", "append_files", "check_schema", "delete", "merge", "update",
 ]

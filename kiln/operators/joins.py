@@ -1,108 +1,45 @@
-"""Equi-joins: fact-to-dimension with a checked broadcast, and key joins.
+"""Equi-joins: fact-to-dimension and key joins.
 
-A broadcast copies one side to every executor, so it is only safe for a side
-whose size is bounded.  :func:`join_dimension` proves the bound before
-hinting: one job over at most ``n + 1`` rows per task counts the rows and
-sums their value bytes.  Above either bound it leaves the choice to the
-planner (sort-merge join, which AQE may still turn into a broadcast join at
-runtime when the real size turns out small).
+No side is hinted: the planner broadcasts a side whose size it knows to be
+below ``spark.sql.autoBroadcastJoinThreshold``, and AQE turns a sort-merge
+join into a broadcast join when a shuffled side proves that small, or splits
+its skewed partitions.  Building a join starts no job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-
-# Bytes per value of fixed-width types (variable-width ones are measured).
-_FIXED_WIDTH = {
-    "boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-    "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16,
-}
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Every task stops after ``max_rows + 1`` rows and a count needs no column
-    values (Parquet row counts suffice), so on a small dimension this is a
-    trivial job and on a large input it never counts to the end.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _value_bytes(field) -> Column:
-    name = field.dataType.typeName()
-    c = F.col(f"`{field.name}`")
-    if name in _FIXED_WIDTH:
-        return F.lit(_FIXED_WIDTH[name])
-    if name in ("string", "binary"):
-        return F.coalesce(F.octet_length(c), F.lit(0))
-    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))  # nested: JSON size
-
 
-def size_at_most(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
-    of values (strings measured, fixed-width types by their width).
-
-    One job over at most ``max_rows + 1`` rows per task: a proven size bound
-    for a broadcast, not an estimate from file sizes.
-    """
-    widths = [_value_bytes(f) for f in df.schema.fields]
-    row_bytes = widths[0] if widths else F.lit(0)
-    for w in widths[1:]:
-        row_bytes = row_bytes + w
-    got = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
-    return got["n"] <= max_rows and (got["b"] or 0) <= max_bytes
-
-
-def broadcast_if_bounded(
-    df: DataFrame,
-    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """``broadcast(df)`` when its rows and bytes are proven small, else ``df``
-    (the planner then picks a sort-merge join; AQE may still broadcast it)."""
-    return F.broadcast(df) if size_at_most(df, max_rows, max_bytes) else df
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Column,
-    *,
-    how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Join a fact table to a dimension; broadcast the dimension when bounded.
+def join_dimension(fact: DataFrame, dim: DataFrame, on: Column, *, how: str = "inner") -> DataFrame:
+    """Join a fact table to a dimension.
 
     ``dim`` is usually aliased by the caller (``dim.alias("n")``) so the
     select after the join can name ``n.col``.
     """
-    return fact.join(broadcast_if_bounded(dim, max_broadcast_rows, max_broadcast_bytes), on, how)
+    return fact.join(dim, on, how)
 
 
-def join_on_keys(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    *,
-    how: str = "inner",
-    persist_inputs: bool = False,
-) -> DataFrame:
+def join_on_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *, how: str = "inner") -> DataFrame:
     """Equi-join on two differently named keys.
 
-    When neither side is small the planner uses a sort-merge join (both
-    sides shuffled on the key); inputs written bucketed on the key (see
+    When neither side is small the planner uses a sort-merge join (both sides
+    shuffled on the key); inputs written bucketed on the key (see
     :func:`kiln.sources.files.write_sorted_parquet`) join with no shuffle.
-    ``persist_inputs`` caches both sides, which only pays off when the
-    caller reuses them in more than one action.
     """
-    if persist_inputs:
-        left = left.persist()
-        right = right.persist()
     return left.join(right, F.col(left_key) == F.col(right_key), how)
+
+
+@contextmanager
+def cached(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
+    """Keep frames cached for the actions inside the block; they are released at its end."""
+    kept = tuple(f.persist() for f in frames)
+    try:
+        yield kept
+    finally:
+        for f in kept:
+            f.unpersist()

@@ -33,15 +33,14 @@ def sort_spread(df: DataFrame, *order: Column | str) -> DataFrame:
     """Global ``ORDER BY`` that stays balanced when a few keys hold most rows.
 
     A global sort range-partitions on its keys, and every row with equal keys
-    goes to the same task: a key holding a third of the rows would be sorted
-    by one task.  A final unique key (``monotonically_increasing_id``) lets
-    range bounds fall inside a run of equal keys, so the run is split across
-    tasks.  Rows tied on the caller's keys may come in any order under ORDER
-    BY, so the result is still a valid sort.  The id is computed in the scan
-    stage right before the exchange; for file input it is the same on a retry.
-    Sorts that already end in a unique key do not need this.
+    goes to the same task: a key holding a third of the rows would be sorted by
+    one task.  All columns follow as tie-breakers, so range bounds fall inside
+    a run of equal keys and the run is split across tasks.  The order is total
+    but for equal rows, and the same on every retry.  Map columns, which have
+    no order, break no ties.
     """
-    return df.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order], F.monotonically_increasing_id())
+    ties = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return df.orderBy(*[F.col(c) if isinstance(c, str) else c for c in order], *ties)
 
 
 def group_count(df: DataFrame, key: str, *, not_null: bool = True) -> DataFrame:
@@ -143,10 +142,3 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     for d in dfs[1:]:
         out = out.union(d)
     return out
-
-
-def union_by_name(*dfs: DataFrame, allow_missing: bool = False) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=allow_missing)
-    return out

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.functions.temporal import COMPACT_FORMAT, compact_to_timestamp
+from kiln.functions.temporal import COMPACT_FORMAT
 from kiln.sources.literal import synthetic_usage
 
 TABLES = (
@@ -64,11 +64,6 @@ def flights(events: DataFrame) -> DataFrame:
     )
 
 
-def flights_with_ts(events: DataFrame) -> DataFrame:
-    """:func:`flights` plus ``flight_ts`` parsed from the compact date."""
-    return flights(events).withColumn("flight_ts", compact_to_timestamp(F.col("date")))
-
-
 def loans(customer: DataFrame) -> DataFrame:
     """Loan rows from customers; every 97th paid amount is NULL."""
     return customer.select(

@@ -15,7 +15,8 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
     Only when the session has none (a bare local test session) is a local
-    folder created and registered as the checkpoint dir.
+    folder created and registered as the checkpoint dir; any other master
+    raises, since driver and executors would write to different disks.
     """
     try:
         root = spark.conf.get(_CKPT_KEY, None)  # works for classic and Connect sessions
@@ -28,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc = None
         if sc is not None:
             root = sc.getConf().get(_CKPT_KEY, None) or sc.getCheckpointDir()
+            if not root and not (sc.master or "").startswith("local"):
+                raise RuntimeError(f"set {_CKPT_KEY} to a folder every executor can reach")
             if not root:
                 root = tempfile.mkdtemp(prefix="kiln-ckpt-")
                 sc.setCheckpointDir(root)
@@ -37,10 +40,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never-reused path under :func:`shared_dir`."""
+    """A fresh, never-reused path under :func:`shared_dir`; the caller owns it (see :func:`drop_scratch`)."""
     return f"{shared_dir(spark)}/kiln/{label}-{uuid.uuid4().hex[:16]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a :func:`scratch_path` folder; whoever asked for the path owns it."""
+    if not path.startswith(f"{shared_dir(spark)}/kiln/"):
+        raise ValueError(f"{path} is no scratch path")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_session(
     cpus: int | str = "*",
     shuffle_partitions: int = 8,

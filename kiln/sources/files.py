@@ -1,8 +1,7 @@
 """File readers and writers: CSV, TSV, JSON lines and Parquet.
 
-Schema handling comes in the four forms the reference uses: inferred from the
-data, declared up front, all-string text cast afterwards, and (for versioned
-tables, see :mod:`kiln.operators.versioned`) stored with the table.
+Schema handling comes in four forms: inferred from the data, declared up
+front, all-string text cast afterwards, and stored with Parquet files.
 
 Casts and timestamp parsing use the ``try_`` forms so malformed text becomes
 NULL instead of failing the job (Spark 4 runs with ANSI mode on).
@@ -32,8 +31,9 @@ def read_csv_inferred(
 ) -> DataFrame:
     """CSV with a header row and inferred column types.
 
-    Inference is an extra pass over the input; ``sampling_ratio`` < 1 bounds
-    it on large inputs.  ``via_format`` spells the read as
+    Inference is an extra pass over the whole input; for large inputs declare
+    the schema instead.  A ``sampling_ratio`` below 1 loses values: a cell that
+    does not fit the type seen in the sample reads as NULL.  ``via_format`` spells the read as
     ``format("csv").load(path)``; the result is the same.
     """
     opts = {"header": "true", "inferSchema": "true", "sep": sep, "samplingRatio": str(sampling_ratio)}
@@ -128,7 +128,7 @@ def write_sorted_parquet(
 
     Without ``buckets`` the data is range-partitioned and sorted globally,
     so each file holds a contiguous key range and min/max statistics let later
-    scans skip files.  The sort ends in a unique tie-breaker
+    scans skip files.  All columns break ties
     (:func:`kiln.operators.relational.sort_spread`), so a key holding a third
     of the rows is written by many tasks, not one.  With ``buckets`` the rows
     are hash-bucketed by ``key`` and sorted inside each bucket, and the output

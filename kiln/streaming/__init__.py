@@ -1,5 +1,5 @@
-"""Structured Streaming into versioned tables."""
+"""Structured Streaming into directories of Parquet files."""
 
-from kiln.streaming.file_append import file_stream, run_for, start_append, stream_files_into_table
+from kiln.streaming.file_append import file_stream, run_for, start_append, stream_files
 
-__all__ = ["file_stream", "run_for", "start_append", "stream_files_into_table"]
+__all__ = ["file_stream", "run_for", "start_append", "stream_files"]

@@ -1,19 +1,18 @@
-"""File-source stream appended into a versioned table.
-
-``readStream`` over a directory of Parquet files, read with the target
-table's schema (a file with an extra column is read without it), then a
-``foreachBatch`` sink that appends each micro-batch as one table version.
-Every append carries ``(stream_id, batch_id)``; a batch that was committed
-before a crash and is replayed from the checkpoint is skipped, so restarts
-never duplicate rows.
+"""File-source stream appended to a directory of Parquet files.
+
+``readStream`` over a directory with a declared schema (a file with an extra
+column is read without it) and Spark's own file sink.  The sink's record of
+committed batches lies in the output directory and the source's progress in
+the checkpoint, so the two belong together: a rerun or restart on the same
+checkpoint adds each file's rows once, and a new checkpoint reads the whole
+source and needs a new output directory.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-
-from kiln.operators.versioned import OP_STREAM, SnapshotTable
+from pyspark.sql.types import StructType
 
 DEFAULT_TRIGGER = "10 seconds"
 
@@ -21,42 +20,43 @@ DEFAULT_TRIGGER = "10 seconds"
 def file_stream(
     spark: SparkSession,
     source_dir: str,
-    table: SnapshotTable,
+    schema: StructType | str,
     *,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame over ``source_dir`` with the table's current schema.
-
-    ``max_files_per_trigger`` bounds each micro-batch, so a backlog of files
-    is worked off in batches of known size instead of one huge batch.
-    """
-    reader = spark.readStream.format(fmt).schema(table.schema())
+    """Streaming DataFrame over ``source_dir``; ``max_files_per_trigger`` bounds each micro-batch."""
+    reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(source_dir)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def start_append(
     stream: DataFrame,
-    table: SnapshotTable,
+    output_dir: str,
     checkpoint_dir: str,
     *,
     trigger: str | None = DEFAULT_TRIGGER,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start an append-mode query writing ``stream`` into ``table``.
+    """Start an append-mode query writing ``stream`` as Parquet files under ``output_dir``.
 
-    ``available_now`` processes what is in the source and stops (tests and
-    catch-up runs); otherwise a processing-time ``trigger`` is used.
+    ``available_now`` processes what is in the source and stops; otherwise a
+    processing-time ``trigger`` is used.  An output directory that another
+    checkpoint has filled is refused: the sink would take the new run's first
+    batches for ones it has already and skip them.
     """
-    stream_id = checkpoint_dir.rstrip("/")
-
-    def append_batch(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, operation=OP_STREAM, stream_id=stream_id, batch_id=int(batch_id))
-
-    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint_dir)
-    writer = writer.foreachBatch(append_batch)
+    spark = stream.sparkSession
+    if _exists(spark, f"{output_dir}/_spark_metadata") and not _exists(spark, f"{checkpoint_dir}/offsets"):
+        raise ValueError(f"{output_dir} was written from another checkpoint; a new checkpoint needs a new directory")
+    writer = stream.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("path", output_dir).option("checkpointLocation", checkpoint_dir)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif trigger:
@@ -65,8 +65,7 @@ def start_append(
 
 
 def run_for(query: StreamingQuery, seconds: float | None) -> None:
-    """Wait ``seconds`` then stop; ``None`` or a negative value waits until
-    the query ends by itself (or forever)."""
+    """Wait ``seconds`` then stop; ``None`` or a negative value waits until the query ends by itself."""
     if seconds is None or seconds < 0:
         query.awaitTermination()
     else:
@@ -74,22 +73,21 @@ def run_for(query: StreamingQuery, seconds: float | None) -> None:
         query.stop()
 
 
-def stream_files_into_table(
+def stream_files(
     spark: SparkSession,
     source_dir: str,
-    table: SnapshotTable,
+    schema: StructType | str,
+    output_dir: str,
     checkpoint_dir: str,
     *,
     available_now: bool = True,
     trigger: str = DEFAULT_TRIGGER,
     run_seconds: float | None = None,
     max_files_per_trigger: int | None = None,
-) -> int:
-    """Convenience: stream ``source_dir`` into ``table``; returns the version."""
-    stream = file_stream(spark, source_dir, table, max_files_per_trigger=max_files_per_trigger)
-    q = start_append(stream, table, checkpoint_dir, trigger=trigger, available_now=available_now)
+) -> None:
+    """Stream ``source_dir`` into ``output_dir``; raises what the query failed with."""
+    stream = file_stream(spark, source_dir, schema, max_files_per_trigger=max_files_per_trigger)
+    q = start_append(stream, output_dir, checkpoint_dir, trigger=trigger, available_now=available_now)
     run_for(q, None if available_now else run_seconds)
-    exc = q.exception()
-    if exc is not None:
-        raise exc
-    return table.latest_version()
+    if q.exception() is not None:
+        raise q.exception()

@@ -1,7 +1,7 @@
 """Run a catalogue query on Spark and its oracle on DuckDB; compare results.
 
 Comparison: column names and types, row count, and the sorted multiset of
-rows with doubles rounded to 9 significant digits and timestamps as naive
+rows with integers as they are, doubles rounded to 9 significant digits and timestamps as naive
 datetimes.
 
     python tests/oracle_compare.py [sf_dir] [name ...]
@@ -45,7 +45,7 @@ def _norm(v):
     if isinstance(v, decimal.Decimal):
         return (2, f"{float(v):.9g}")
     if isinstance(v, int):
-        return (2, f"{float(v):.9g}")
+        return (6, v)  # exactly
     if isinstance(v, dt.datetime):
         return (3, v.replace(tzinfo=None).isoformat())
     if isinstance(v, dt.date):

@@ -1,83 +1,70 @@
-"""File stream into a versioned table: run, rerun, new file, replayed batch."""
+"""File stream into Parquet files: run, rerun, new file, restart, new checkpoint."""
 
-from pyspark.sql import functions as F
+import pytest
 
-from kiln.operators.versioned import SnapshotTable
-from kiln.streaming.file_append import file_stream, run_for, start_append, stream_files_into_table
+from kiln.streaming import file_stream, run_for, start_append, stream_files
 
 SCHEMA = "loan_id long, funded_amnt int, paid_amnt double, addr_state string"
 
 
-def test_stream_run_rerun_and_new_file(spark, scratch):
-    inbox, ckpt = f"{scratch}/inbox", f"{scratch}/ckpt"
-    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    spark.createDataFrame([(i, i, float(i), "A") for i in range(3)], SCHEMA).write.mode("append").parquet(inbox)
-    stream_files_into_table(spark, inbox, table, ckpt)
-    assert table.read().count() == 3
-    stream_files_into_table(spark, inbox, table, ckpt)  # nothing new: no duplicates
-    assert table.read().count() == 3
-    spark.createDataFrame([(i, i, float(i), "B") for i in range(3, 7)], SCHEMA).write.mode("append").parquet(inbox)
-    stream_files_into_table(spark, inbox, table, ckpt)
-    assert table.read().count() == 7
-    ops = [r["operation"] for r in table.history().collect()]
-    assert ops.count("STREAMING UPDATE") == 2
-
-
-def test_stream_drops_extra_column(spark, scratch):
-    inbox, ckpt = f"{scratch}/inbox", f"{scratch}/ckpt"
-    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    spark.createDataFrame([(1, 1, 1.0, "A", True)], SCHEMA + ", closed boolean").write.mode("append").parquet(inbox)
-    stream_files_into_table(spark, inbox, table, ckpt)
-    assert table.read().columns == ["loan_id", "funded_amnt", "paid_amnt", "addr_state"]
-    assert table.read().count() == 1
-
-
-def test_replayed_batch_is_skipped(spark, scratch):
-    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    batch = spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA)
-    v1 = table.append(batch, stream_id="s", batch_id=0)
-    v2 = table.append(batch, stream_id="s", batch_id=0)  # replay after a crash
-    assert v1 == v2 and table.read().count() == 1
-    table.append(batch, stream_id="s", batch_id=1)
-    assert table.read().count() == 2
+def drop(spark, inbox, ids, schema=SCHEMA, extra=()):
+    rows = [(i, i, float(i), "A", *extra) for i in ids]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+
+
+def ids(spark, path):
+    return sorted(r["loan_id"] for r in spark.read.schema(SCHEMA).parquet(path).collect())
+
+
+def test_run_rerun_and_new_file(spark, scratch):
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    drop(spark, inbox, range(3))
+    stream_files(spark, inbox, SCHEMA, out, ckpt)
+    assert ids(spark, out) == [0, 1, 2]
+    stream_files(spark, inbox, SCHEMA, out, ckpt)  # nothing new: no duplicates
+    assert ids(spark, out) == [0, 1, 2]
+    drop(spark, inbox, range(3, 7))
+    stream_files(spark, inbox, SCHEMA, out, ckpt)
+    assert ids(spark, out) == list(range(7))
+
+
+def test_new_checkpoint_reads_the_whole_source(spark, scratch):
+    inbox = f"{scratch}/inbox"
+    drop(spark, inbox, range(5))
+    stream_files(spark, inbox, SCHEMA, f"{scratch}/out", f"{scratch}/ckpt")
+    drop(spark, inbox, range(5, 8))
+    with pytest.raises(ValueError, match="another checkpoint"):  # the sink would skip its batches
+        stream_files(spark, inbox, SCHEMA, f"{scratch}/out", f"{scratch}/ckpt2")
+    assert ids(spark, f"{scratch}/out") == list(range(5))
+    stream_files(spark, inbox, SCHEMA, f"{scratch}/out2", f"{scratch}/ckpt2")
+    assert ids(spark, f"{scratch}/out2") == list(range(8))
+
+
+def test_extra_column_is_left_out(spark, scratch):
+    inbox, out = f"{scratch}/inbox", f"{scratch}/out"
+    drop(spark, inbox, [1], SCHEMA + ", closed boolean", (True,))
+    stream_files(spark, inbox, SCHEMA, out, f"{scratch}/ckpt")
+    assert spark.read.parquet(out).columns == ["loan_id", "funded_amnt", "paid_amnt", "addr_state"]
+    assert ids(spark, out) == [1]
+
+
+def test_restart_between_bounded_batches(spark, scratch):
+    """A run that is stopped after some batches goes on where it was; no row is lost or repeated."""
+    inbox, out, ckpt = f"{scratch}/inbox", f"{scratch}/out", f"{scratch}/ckpt"
+    for part in range(4):
+        drop(spark, inbox, range(part * 10, part * 10 + 5))
+    q = start_append(file_stream(spark, inbox, SCHEMA, max_files_per_trigger=1), out, ckpt, trigger="0 seconds")
+    while not q.recentProgress and q.isActive:
+        q.awaitTermination(0.1)
+    q.stop()
+    stream_files(spark, inbox, SCHEMA, out, ckpt, max_files_per_trigger=1)
+    assert ids(spark, out) == sorted(i for part in range(4) for i in range(part * 10, part * 10 + 5))
 
 
 def test_processing_time_trigger_bounded_run(spark, scratch):
-    inbox, ckpt = f"{scratch}/inbox", f"{scratch}/ckpt"
-    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA).write.mode("append").parquet(inbox)
-    q = start_append(file_stream(spark, inbox, table), table, ckpt, trigger="1 second")
+    inbox, out = f"{scratch}/inbox", f"{scratch}/out"
+    drop(spark, inbox, [1])
+    q = start_append(file_stream(spark, inbox, SCHEMA), out, f"{scratch}/ckpt", trigger="1 second")
     q.processAllAvailable()
     run_for(q, 0.5)
-    assert not q.isActive
-    assert table.read().where(F.col("loan_id") == 1).count() == 1
-
-
-def test_bounded_batches_all_rows_once(spark, scratch):
-    inbox, ckpt = f"{scratch}/inbox", f"{scratch}/ckpt"
-    table = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    for part in range(3):
-        spark.createDataFrame([(part * 10 + i, i, 1.0, "A") for i in range(5)], SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(inbox)
-    stream_files_into_table(spark, inbox, table, ckpt, max_files_per_trigger=1)
-    assert table.read().count() == 15
-    assert sum(r["operation"] == "STREAMING UPDATE" for r in table.history().collect()) == 3
-
-
-def test_replay_check_after_restart_uses_recent_records(spark, scratch, monkeypatch):
-    import kiln.operators.versioned as V
-
-    monkeypatch.setattr(V, "_STREAM_LOOKBACK", 2)
-    t = SnapshotTable.write(spark.createDataFrame([], SCHEMA), f"{scratch}/table")
-    b = spark.createDataFrame([(1, 1, 1.0, "A")], SCHEMA)
-    t.append(b, stream_id="old", batch_id=0)
-    for i in range(3):  # other writes push the old stream out of the recent window
-        t.append(b)
-    t.append(b, stream_id="s", batch_id=0)
-    t.append(b, stream_id="s", batch_id=1)
-    fresh = SnapshotTable.for_path(spark, t.root)  # a restarted driver
-    assert fresh._batch_committed("s", 1) and fresh._batch_committed("s", 0)
-    assert not fresh._batch_committed("s", 2)
-    assert fresh._batch_committed("old", 0) and not fresh._batch_committed("old", 1)
-    assert not fresh._batch_committed("new", 0)
+    assert not q.isActive and ids(spark, out) == [1]
