@@ -11,9 +11,14 @@ Texts with equal sets are one class, and only one representative of a class
 goes on.  Within a bucket only star-shaped pairs are made: every member against
 the bucket's hub.  Each pair is confirmed on the full sets.  Then hubs leave
 their buckets, and a bucket that still holds members of different components
-gets new hubs, until none does: so pairs grow with members times hubs, not with
-the square of a bucket, and no pair that shares a bucket and could still join
-two components goes untested.  Rounds have no cap.  The chance that a link of
+gets more hubs, once.  Buckets that are mixed even then (texts around one
+common passage share bands without being copies) are resolved exactly: with
+shingles in order of rarity among those texts, two similar sets share a shingle
+of the larger one's first n - ceil(0.8 n) + 1 and of the smaller one's first
+n - ceil(0.8 / 0.9 n) + 1.  These rare shingles are new, tight buckets: a hub
+each first, then what still differs in component within a bucket.  So pairs
+grow with members times hubs, and no pair that shares a band and could still
+join two components goes untested.  The chance that a link of
 similarity exactly 0.8 shares no bucket is (1 - 0.8**6)**45, about 1e-6.
 
 Defined results: null texts and texts without words have an empty set and link
@@ -29,7 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textscan as ts
@@ -39,7 +44,7 @@ ROWS, BANDS = 6, 45
 BINS = ROWS * BANDS
 ATTEMPTS = 64
 SKETCHED = 300  # shingles from which on sketches may rule a pair out
-HUBS = 256  # most hubs a bucket gets in a round: 1, 16, 256, 256, ...
+HUBS = 16  # hubs a bucket gets in the second round
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,6 +235,24 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return linked.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def rare_members(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n, first, place): each node under the shingles of its prefix, rarest first, that another node has too.
+
+    Of two similar sets the larger meets the smaller one's first
+    n - ceil(2p / (1 + p) n) + 1 shingles (``first``) in its own first
+    n - ceil(p n) + 1.  Shingles that no other node has come before all others
+    and need no bucket.
+    """
+    each = sets.join(nodes, "node").select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    often = each.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    mine = Window.partitionBy("node")
+    known = each.join(often, "key").withColumn("r", F.row_number().over(mine.orderBy("df", "key"))).withColumn("c", F.count(F.lit(1)).over(mine))
+    place = F.col("r") + F.col("n") - F.col("c")
+    known = known.where(place <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    first = place <= F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent) - F.lit(1e-9)) + 1
+    return known.select("key", "node", "n", first.alias("first"), place.alias("place"))
+
+
 @by_value
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``df``: components of texts linked at ``percent`` similarity of ``width``-word shingles."""
@@ -251,28 +274,37 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     sets = cut(sets.distinct())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.MEMORY_AND_DISK)
-    comp, links, hubs_each = None, None, 1
-    while True:
+    comp, links = None, None
+    for on_bands, hubs_each in ((True, 1), (True, HUBS), (False, 1), (False, None)):
+        if not on_bands and hubs_each == 1:
+            members = cut(rare_members(members.select("node").distinct(), sets, percent))
         if comp is None:
             now = members.withColumn("comp", F.col("node"))
         else:
-            now = members.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        part = F.pmod(F.xxhash64("node"), F.lit(hubs_each)).alias("part")
-        firsts = now.groupBy("key", part).agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min(F.struct("node", "comp")).alias("h"))
-        firsts = cut(firsts)
-        mixed = firsts.groupBy("key").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).where("c0 != c1").select("key")
-        hubs = cut(firsts.join(mixed, "key").select("key", F.col("h.node").alias("b"), F.col("h.comp").alias("hub_comp")))
+            now = members.join(comp, "node", "left").select(*members.columns, F.coalesce("comp", "node").alias("comp"))
+        hub = now if on_bands else now.where("first")
+        if hubs_each:
+            part = F.pmod(F.xxhash64("node"), F.lit(hubs_each)).alias("part")
+            hub = hub.groupBy("key", part).agg(F.min(F.struct(*[c for c in now.columns if c != "key"])).alias("h")).select("key", "h.*")
+        ends = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("key")
+        hubs = hub.join(ends, "key").select("key", *[F.col(c).alias(f"hub_{c}") for c in hub.columns if c != "key"])
+        hubs = cut(hubs)
         if hubs.isEmpty():
             break
         # the hub is the pair's second node, whichever is smaller; pairs inside a component need no test
-        pairs = now.join(hubs, "key").where("comp != hub_comp").select(F.col("node").alias("a"), "b").distinct()
-        found = cut(_confirm(pairs, sets, percent))
+        pairs = now.join(hubs, "key").where("comp != hub_comp")
+        if not on_bands:
+            pairs = pairs.where((F.col("n") >= F.col("hub_n")) & _similar(F.col("hub_n"), F.col("n"), percent))
+            # at the first shingle they share, what may still be common must suffice
+            most = 1 + F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
+            pairs = pairs.where((100 + percent) * most >= percent * (F.col("n") + F.col("hub_n")))
+        found = cut(_confirm(pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b")).distinct(), sets, percent))
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             comp = components(links)
-        rest = members.join(hubs.select("key").distinct(), "key", "left_semi")
-        members = cut(rest.join(hubs.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti"))
-        hubs_each = min(hubs_each * 16, HUBS)
+        if on_bands:
+            rest = members.join(hubs.select("key").distinct(), "key", "left_semi")
+            members = cut(rest.join(hubs.select("key", F.col("hub_node").alias("node")), ["key", "node"], "left_anti"))
     sets.unpersist()
     home = classes.select(*same, "node", "copies")
     if links is None:

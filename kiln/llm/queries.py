@@ -14,4 +14,21 @@ from .toxicity import op5_toxicity
 from .urlgraph import op9_url_graph
 
 QUERIES = {f.__name__: f for f in (op1_nn_descent, op2_best_fit_packing, op3_byte_bpe, op4_secrets, op5_toxicity, op6_quality_rules, op7_minhash, op8_html_blocks, op9_url_graph, op10_virtual_slots)}
-ORACLE: dict[str, str] = {}
+_OP7 = """WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
+  FROM w),
+g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.c = l.u)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.c) AS component_id, s.doc_id = min(r.c) AS kept
+FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s"""
+
+#: Only near copies are SQL; the others fit models, search graphs, tokenise or hash with functions that DuckDB lacks.
+ORACLE: dict[str, str] = {"op7_minhash": _OP7}
