@@ -9,9 +9,9 @@ band and equal bands share a bucket.
 
 Texts with equal sets are one class, and only one representative of a class
 goes on.  Within a bucket only star-shaped pairs are made: every member against
-the bucket's hub.  Each pair is confirmed on the full sets.  Then hubs leave
-their buckets, and a bucket that still holds members of different components
-gets more hubs, once.  Buckets that are mixed even then (texts around one
+the bucket's hub.  Each pair is confirmed on the full sets.  Then the hub
+leaves its bucket, and a bucket that still holds members of different
+components gets another hub, once.  Buckets that are mixed even then (texts around one
 common passage share bands without being copies) are resolved exactly: with
 shingles in order of rarity among those texts, two similar sets share a shingle
 of the larger one's first n - ceil(0.8 n) + 1 and of the smaller one's first
@@ -44,7 +44,6 @@ ROWS, BANDS = 6, 45
 BINS = ROWS * BANDS
 ATTEMPTS = 64
 SKETCHED = 300  # shingles from which on sketches may rule a pair out
-HUBS = 16  # hubs a bucket gets in the second round
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,17 +274,16 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.MEMORY_AND_DISK)
     comp, links = None, None
-    for on_bands, hubs_each in ((True, 1), (True, HUBS), (False, 1), (False, None)):
-        if not on_bands and hubs_each == 1:
+    for on_bands, one_hub in ((True, True), (True, True), (False, True), (False, False)):
+        if not on_bands and one_hub:
             members = cut(rare_members(members.select("node").distinct(), sets, percent))
         if comp is None:
             now = members.withColumn("comp", F.col("node"))
         else:
             now = members.join(comp, "node", "left").select(*members.columns, F.coalesce("comp", "node").alias("comp"))
         hub = now if on_bands else now.where("first")
-        if hubs_each:
-            part = F.pmod(F.xxhash64("node"), F.lit(hubs_each)).alias("part")
-            hub = hub.groupBy("key", part).agg(F.min(F.struct(*[c for c in now.columns if c != "key"])).alias("h")).select("key", "h.*")
+        if one_hub:
+            hub = hub.groupBy("key").agg(F.min(F.struct(*[c for c in now.columns if c != "key"])).alias("h")).select("key", "h.*")
         ends = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("key")
         hubs = hub.join(ends, "key").select("key", *[F.col(c).alias(f"hub_{c}") for c in hub.columns if c != "key"])
         hubs = cut(hubs)
