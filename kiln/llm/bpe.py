@@ -147,41 +147,55 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes Arrow string arrays to flat ids; holds a tokenizer and the ids of chunks seen, up to MOST_CACHED."""
+    """Encodes Arrow string arrays to flat ids; holds a tokenizer and the ids of chunks seen, up to MOST_CACHED.
 
-    MOST_CACHED = 400_000
+    When the store is full, the chunks of the last slice stay, the others go.
+    """
+
+    MOST_CACHED = 350_000
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.table = dict(enumerate(byte_table()))
-        self._empty()
+        self.shown = np.array([ord(c) for c in byte_table()], np.uint16)
+        self.forget()
 
-    def _empty(self) -> None:
+    def forget(self) -> None:
+        """Empty the store: a worker that waits for its next task holds the tokenizer alone."""
+        self.last: list[str] = []
         self.seen: dict[str, int] = {}
         self.flat, self.begin = array("I"), array("q", [0])
 
+    def _shrink(self) -> None:
+        seen, flat, begin = self.seen, self.flat, self.begin
+        self.seen, self.flat, self.begin = {}, array("I"), array("q", [0])
+        self._store(self.last, (flat[begin[k] : begin[k + 1]] for k in map(seen.__getitem__, self.last)))
+
     def _codes(self, chunks: list[str]) -> np.ndarray:
         """Place of each chunk in the store; new chunks are tokenised and stored."""
         if len(self.seen) + len(chunks) > self.MOST_CACHED:
-            self._empty()
-        seen, flat, begin = self.seen, self.flat, self.begin
-        new = [c for c in chunks if c not in seen]
-        rest = []
+            self._shrink()
+        self.last = chunks
+        new = [c for c in chunks if c not in self.seen]
+        whole = list(map(_ONE_WORD.fullmatch, new))
+        words = [c for c, w in zip(new, whole) if w]
         tokenize = self.tokenizer.model.tokenize
-        for c in new:
-            if _ONE_WORD.fullmatch(c):
-                shown = c.encode().decode("latin-1").translate(self.table)
-                flat.extend([x.id for x in tokenize(shown)])
-                seen[c] = len(begin) - 1
-                begin.append(len(flat))
-            else:
-                rest.append(c)
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            # bytes to characters, all words at once; a zero byte parts them
+            data = np.frombuffer("\0".join(some).encode(), np.uint8)
+            shown = self.shown[data].tobytes().decode("utf-16-le").split(chr(self.shown[0]))
+            self._store(some, ([x.id for x in tokens] for tokens in map(tokenize, shown)))
+        rest = [c for c, w in zip(new, whole) if not w]
         if rest:
-            for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-                flat.extend(e.ids)
-                seen[c] = len(begin) - 1
-                begin.append(len(flat))
-        return np.fromiter((seen[c] for c in chunks), np.int64, len(chunks))
+            self._store(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
+        return np.array(list(map(self.seen.__getitem__, chunks)), np.int64)
+
+    def _store(self, chunks: list[str], each) -> None:
+        k, flat, begin = len(self.begin) - 1, self.flat, self.begin
+        for ids in each:
+            flat.extend(ids)
+            begin.append(len(flat))
+        self.seen.update(zip(chunks, range(k, k + len(chunks))))
 
     def slices(self, col: pa.Array):
         """(first row, end row, ids, id offsets, bytes, byte offsets) per slice of the array."""
@@ -197,7 +211,7 @@ class Encoder:
         ends = np.append(starts, len(data)).astype(np.int32)
         chunks = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
         coded = chunks.dictionary_encode()
-        which = self._codes(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        which = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
         # copies: the store may grow or be emptied while the result is in use
         flat, begin = np.array(self.flat, np.uint32), np.array(self.begin, np.int64)
         count = begin[which + 1] - begin[which]
@@ -209,6 +223,18 @@ class Encoder:
         return flat[pos], id_off
 
 
+def encoder(path: str, pattern: str | None = None) -> Encoder:
+    """An encoder whose tokenizer a Python worker keeps from task to task, where it can import this package."""
+    try:
+        from kiln.llm import bpe as home
+    except ImportError:  # pickled by value to a worker without the package
+        return Encoder(load_tokenizer(path, pattern))
+    kept = home.__dict__.setdefault("_ENCODERS", {})
+    if (path, pattern) not in kept:
+        kept[path, pattern] = home.Encoder(home.load_tokenizer(path, pattern))
+    return kept[path, pattern]
+
+
 class ByteTable:
     """Gathers per-id byte strings into one buffer."""
 
@@ -247,8 +273,8 @@ def with_tokens(df: DataFrame, path: str, pattern: str | None = None, text_col:
     """``df`` with ids and code point spans of the tokens of each whole text."""
 
     def encode(batches):
-        tok = load_tokenizer(path, pattern)
-        enc, table = Encoder(tok), ByteTable(token_bytes(tok))
+        enc = encoder(path, pattern)
+        table = ByteTable(token_bytes(enc.tokenizer))
         for col in batches:
             ids, starts, ends, counts = [], [], [], [np.zeros(1, np.int64)]
             for lo, hi, flat, id_off, data, off in enc.slices(col):
@@ -267,6 +293,7 @@ def with_tokens(df: DataFrame, path: str, pattern: str | None = None, text_col:
                 for x in (ids, starts, ends)
             ]
             yield pa.StructArray.from_arrays(lists, names=["ids", "starts", "ends"])
+        enc.forget()
 
     return df.withColumn(out, _iterating(encode, TOKENS_TYPE)(text_or_empty(text_col)))
 
@@ -299,8 +326,8 @@ def round_trip(df: DataFrame, path: str, pattern: str | None = None, text_col: s
     """``df`` with digests of each text's ids and of what they decode to."""
 
     def digest(batches):
-        tok = load_tokenizer(path, pattern)
-        enc, pieces = Encoder(tok), token_bytes(tok)
+        enc = encoder(path, pattern)
+        pieces = token_bytes(enc.tokenizer)
         raw, decimal = ByteTable(pieces), ByteTable([b"%d " % i for i in range(len(pieces))])
         for col in batches:
             n, ids_sha, text_sha, same = [], [], [], []
@@ -319,6 +346,7 @@ def round_trip(df: DataFrame, path: str, pattern: str | None = None, text_col: s
                 [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()), pa.array(same, pa.bool_())],
                 names=["n_tokens", "ids_sha256", "decoded_sha256", "same"],
             )
+        enc.forget()
 
     return df.withColumn(out, _iterating(digest, ROUND_TRIP_TYPE)(text_or_empty(text_col)))
 

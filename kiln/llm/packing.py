@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Encoder, _iterating, load_tokenizer
+from .bpe import _iterating, encoder
 from .common import by_value, cut, text_or_empty
 
 BLOCK = 4096  # items a block holds on average
@@ -227,7 +227,7 @@ def with_pieces(df: DataFrame, path: str, size: int, end_id: int, text_col: str
     """``df`` with the pieces of each whole text: number, first id, number of ids, CRC-32 of the ids as 32-bit little-endian words."""
 
     def cut_up(batches):
-        enc = Encoder(load_tokenizer(path))
+        enc = encoder(path)
         for col in batches:
             offsets, piece, start, length, crc = [0], [], [], [], []
             for lo, hi, flat, id_off, _, _ in enc.slices(col):
@@ -248,6 +248,7 @@ def with_pieces(df: DataFrame, path: str, size: int, end_id: int, text_col: str
                 names=["piece", "start", "length", "crc"],
             )
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
+        enc.forget()
 
     return df.withColumn(out, _iterating(cut_up, PIECES_TYPE)(text_or_empty(text_col)))
 
