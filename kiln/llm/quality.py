@@ -139,6 +139,8 @@ def chi2_quantile(q_normal: float, p: int) -> float:
 CUTOFF = chi2_quantile(4.0, P)
 SHARE = 0.65  # share of a group that the C-steps keep
 SALTS = 32  # parts of a group in joins of rows with group estimates
+#: Up to so many groups (about 400 bytes each) their estimates are broadcast.
+BROADCAST_GROUPS = 10_000
 MEDIAN_CHI2 = chi2_quantile(0.0, P)
 
 _FIT_TYPE = "struct<centre:array<double>,inverse:array<double>,logdet:double>"
@@ -292,10 +294,13 @@ def judge(df: DataFrame, fits: DataFrame, stats: str = "stats", by: tuple[str, s
     names = {c: fresh(f"fit_{c}", df) for c in ("lang_key", "source_key", "centre", "inverse", "scale")}
     f = fits.select(*[F.col(c).alias(n) for c, n in names.items()])
     lang, source = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in by)
-    names["salt"] = fresh("fit_salt", df)
-    f = f.withColumn(names["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.hash(s), F.lit(SALTS))
-    same = (lang == F.col(names["lang_key"])) & (source == F.col(names["source_key"])) & (salt == F.col(names["salt"]))
+    same = (lang == F.col(names["lang_key"])) & (source == F.col(names["source_key"]))
+    if fits.count() <= BROADCAST_GROUPS:
+        f = F.broadcast(f)  # below 4 MB; the rows, with their texts, stay where they are
+    else:
+        names["salt"] = fresh("fit_salt", df)
+        f = f.withColumn(names["salt"], F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = same & (F.pmod(F.hash(s), F.lit(SALTS)) == F.col(names["salt"]))
     out = df.join(f, same, "left")
     d2 = squared_distance(feature_columns(s), F.col(names["centre"]), F.col(names["inverse"])) / F.col(names["scale"])
     d2 = F.when(~base_failed(s), d2)

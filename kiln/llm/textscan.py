@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -36,6 +36,7 @@ def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
         end = min(max(end, at + 1), n)
         yield at, end, data[off[at] : off[end]], (off[at : end + 1] - off[at])
         at = end
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
 
 def mix(x: np.ndarray) -> np.ndarray:
