@@ -8,6 +8,7 @@ text makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,16 @@ def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
         end = min(max(end, at + 1), n)
         yield at, end, data[off[at] : off[end]], (off[at : end + 1] - off[at])
         at = end
-    pa.default_memory_pool().release_unused()  # workers outlive their tasks
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
 
 
 def mix(x: np.ndarray) -> np.ndarray:
