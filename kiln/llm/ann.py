@@ -3,20 +3,23 @@
 Vectors of equal content are one class, and classes are the nodes of a graph.
 With one more component, sqrt(M^2 - |x|^2) for the largest norm M, all vectors
 have one length and nearness by inner product becomes nearness by angle, so a
-neighbour graph of the lengthened vectors serves inner product search.
+neighbour graph of the lengthened vectors serves inner product search.  A code
+holds the original part in bytes on a scale of its own, and what the added
+component lacks to one in full precision, so vectors that are short against the
+longest one stay apart.
 
-Building.  Random hyperplanes deal the nodes over small blocks, a few times
-over, for first neighbours.  Then NN-descent: each round joins every node with
+Building.  Random hyperplanes deal the nodes by their direction over small
+blocks, a few times over, for first neighbours.  Then NN-descent: each round joins every node with
 its neighbours and a sample of those it is a neighbour of, compares all pairs
 that meet at a node, and keeps for each node the best; a round offers a pair
 only if one of its edges is new and it beats the worst neighbour kept.  What
 meets at a node is at most K + REVERSE vectors, so a hub costs no more than any
 other node.
 
-Searching.  A query starts at the nearest of a bounded sample of landmarks, and
-at its own node if it has one; each round joins the best nodes it has not
-expanded with their neighbours, scores those, and keeps the BEAM best.  The
-scores that are returned are inner products of the original vectors in double
+Searching.  A query starts at the nearest of a bounded sample of landmarks and
+of the longest vectors, and at its own node if it has one; each round joins the
+best nodes it has not expanded with their neighbours, scores those by the inner
+product of the original parts, and keeps the BEAM best.  The scores that are returned are inner products of the original vectors in double
 precision.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
@@ -40,7 +43,7 @@ OFFERS = 4  # best new partners that a meeting place offers a node
 TABLES = 4  # times that hyperplanes deal the nodes
 BLOCK = 400  # nodes of a block
 ROUNDS = 7  # at most; fewer where a round finds next to nothing new
-LANDMARKS = 512  # bounded sample; a byte a component each is broadcast
+LANDMARKS = 512  # bounded sample, and as many of the longest; a byte a component each is broadcast
 BEAM = 128
 EXPAND = 12
 SEARCH_ROUNDS = 4
@@ -61,43 +64,55 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _coder(longest: float):
-    """Array of doubles to the lengthened vector in bytes: a scale (4 bytes), then one byte per component."""
+    """Array of doubles to its code: a scale and what the added component lacks to one (4 bytes each), then one byte per component."""
 
     def code(col: pa.Array) -> pa.Array:
         n = len(col)
         flat = col.flatten().to_numpy(zero_copy_only=False)
         x = flat.reshape(n, -1) / longest if n else np.zeros((0, 1))
-        more = np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))
-        full = np.column_stack([x, more])
-        scale = (np.abs(full).max(axis=1, initial=0, keepdims=True) / 127).astype(np.float32)
-        small = np.rint(full / np.maximum(scale, 1e-30)).astype(np.int8)
-        both = np.concatenate([scale.view(np.uint8), small.view(np.uint8)], axis=1)
+        square = np.minimum((x * x).sum(axis=1, keepdims=True), 1)
+        lack = (square / (1 + np.sqrt(1 - square))).astype(np.float32)  # 1 - sqrt(1 - square), without cancellation
+        scale = np.maximum(np.abs(x).max(axis=1, initial=0, keepdims=True) / 127, 1e-30).astype(np.float32)
+        small = np.clip(np.rint(x / scale), -127, 127).astype(np.int8)
+        both = np.concatenate([scale.view(np.uint8), lack.view(np.uint8), small.view(np.uint8)], axis=1)
         return pa.array([r.tobytes() for r in both], pa.binary())
 
     return F.arrow_udf(code, returnType="binary")
 
 
-def _matrix(col: pa.Array) -> np.ndarray:
+def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if not len(col):
-        return np.zeros((0, 1), np.float32)
+        return np.zeros((0, 1), np.float32), np.zeros(0, np.float32)
     off = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
     data = np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]]
     return _vectors(data, len(col))
 
 
-def _vectors(data: np.ndarray, n: int) -> np.ndarray:
+def _vectors(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(original parts, what the added components lack to one) of n codes."""
     both = data.reshape(n, -1)
-    scale = np.ascontiguousarray(both[:, :4]).view(np.float32)
-    return both[:, 4:].view(np.int8).astype(np.float32) * scale
+    head = np.ascontiguousarray(both[:, :8]).view(np.float32)
+    return both[:, 8:].view(np.int8).astype(np.float32) * head[:, :1], head[:, 1]
+
+
+def _directions(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one: a query's own length does not change its order."""
+    x = x / np.maximum(np.abs(x).max(axis=1, initial=0, keepdims=True), 1e-37)
+    return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-37)
+
+
+def _nearness(x: np.ndarray, lack: np.ndarray, y: np.ndarray, y_lack: np.ndarray) -> np.ndarray:
+    """Inner products of lengthened vectors, less one: differences of short vectors are not rounded away."""
+    return x @ y.T - (lack[:, None] + y_lack - lack[:, None] * y_lack)
 
 
 def _dealer(bits: int, tables: int):
-    """Code to one block key per table: the signs of random projections."""
+    """Code to one block key per table: the signs of random projections of the original part."""
 
     def deal(col: pa.Array) -> pa.Array:
-        x = _matrix(col)
+        x, _ = _matrix(col)
         out = np.zeros((len(x), tables), np.int64)
         for t in range(tables):
             planes = np.random.default_rng([77, t]).standard_normal((x.shape[1], max(bits, 1))).astype(np.float32)
@@ -117,11 +132,11 @@ _EDGE_TYPE = "node long, nbr long, sim float"
 
 def _block_neighbours(t):
     """The K nearest of each node inside a block, block by block of rows."""
-    ids, x = t.column("node").to_numpy(), _matrix(t.column("code"))
+    ids, (x, lack) = t.column("node").to_numpy(), _matrix(t.column("code"))
     node, nbr, sim = [], [], []
     k = min(K, len(ids) - 1)
     for at in range(0, len(ids) if k > 0 else 0, 512):
-        s = x[at : at + 512] @ x.T
+        s = _nearness(x[at : at + 512], lack[at : at + 512], x, lack)
         rows = np.arange(len(s))
         s[rows, at + rows] = -np.inf
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -136,11 +151,12 @@ def _meet(t):
     v = t.column("v").to_numpy()
     order = np.argsort(v, kind="stable")
     v, p = v[order], t.column("p").to_numpy()[order]
-    x, worst, fresh = _matrix(t.column("code"))[order], t.column("worst").to_numpy()[order], t.column("fresh").to_numpy(zero_copy_only=False)[order]
+    x, lack = (z[order] for z in _matrix(t.column("code")))
+    worst, fresh = t.column("worst").to_numpy()[order], t.column("fresh").to_numpy(zero_copy_only=False)[order]
     node, nbr, sim = [], [], []
     bounds = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
     for a, b in zip(bounds, np.append(bounds[1:], len(v))):
-        s = x[a:b] @ x[a:b].T
+        s = _nearness(x[a:b], lack[a:b], x[a:b], lack[a:b])
         s[~(fresh[a:b, None] | fresh[None, a:b]) | (p[a:b, None] == p[None, a:b])] = -np.inf
         k = min(OFFERS, b - a)
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -199,8 +215,8 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def _near():
-    def dot(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array(np.einsum("ij,ij->i", _matrix(a), _matrix(b)), pa.float32())
+    def dot(a: pa.Array, q: pa.Array) -> pa.Array:
+        return pa.array(np.einsum("ij,ij->i", _matrix(a)[0], _directions(_matrix(q)[0])), pa.float32())
 
     return F.arrow_udf(dot, returnType="float")
 
@@ -208,7 +224,7 @@ def _near():
 def _landmark_udf(marks):
     def first(col: pa.Array) -> pa.Array:
         ids, codes = marks.value
-        q, m = _matrix(col), _vectors(np.frombuffer(b"".join(codes), np.uint8), len(codes))
+        q, (m, _) = _directions(_matrix(col)[0]), _vectors(np.frombuffer(b"".join(codes), np.uint8), len(codes))
         k = min(BEAM, len(ids))
         s = q @ m.T
         top = np.argsort(-s, axis=1, kind="stable")[:, :k]
@@ -222,10 +238,12 @@ def _landmark_udf(marks):
 
 
 def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
-    """(query, node): the BEAM best nodes found for each query (query, code, own: its node or null)."""
+    """(query, node): the BEAM best nodes (node, code, length) found for each query (query, code, own: its node or null)."""
     spark = nodes.sparkSession
-    # a bounded sample: LANDMARKS rows
+    # bounded samples: LANDMARKS rows each; few neighbours lead to the longest vectors, which many queries want
     marks = nodes.orderBy(F.xxhash64("node"), "node").limit(LANDMARKS).collect()
+    far = nodes.orderBy(F.col("length").desc(), "node").limit(LANDMARKS).collect()
+    marks = list({r["node"]: r for r in marks + far}.values())
     if not marks:
         return queries.select("query", F.col("own").alias("node")).limit(0)
     seed = _landmark_udf(spark.sparkContext.broadcast(([r["node"] for r in marks], [bytes(r["code"]) for r in marks])))
@@ -257,9 +275,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     rows = usable(vectors, id_col, vec_col)
     # nodes are classes of equal vectors, named by a hash of their content
     classes = cut(rows.select("v").distinct().select(F.xxhash64("v").alias("node"), "v"))
-    length = classes.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()[0]
-    code = _coder(length or 1.0)
-    nodes = cut(classes.select("node", code("v").alias("code")))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    code = _coder(classes.agg(F.max(length)).first()[0] or 1.0)
+    nodes = cut(classes.select("node", code("v").alias("code"), length.alias("length")))
     graph = build_graph(nodes)
     # members of a class, as far as they can be among the k nearest of a query
     members = rows.select("id", F.xxhash64("v").alias("node"))

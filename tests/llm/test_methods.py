@@ -296,6 +296,24 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_neighbours_of_mixed_lengths(spark, spread):
+    """One vector 100 times as long as the others, which are of one length or of many."""
+    rng = np.random.default_rng(9)
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    x = np.unique(np.array([r["embedding"] for r in rows], float), axis=0)
+    x *= rng.lognormal(0, spread, len(x))[:, None]
+    x[7] *= 100 * np.linalg.norm(x, axis=1).max() / np.linalg.norm(x[7])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id int, embedding array<double>")
+    got = ann.nearest(table, lambda i: i % 20 == 0).toPandas()
+    hits = []
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits.append(len(set(np.argsort(-s)[:20]) & set(got[got.query_id == q].vec_id)) / 20)
+    assert np.mean(hits) >= 0.9
+
+
 def test_pipeline_stages(spark, texts, labels, scratch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, ids = docs.columns, {}
