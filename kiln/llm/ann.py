@@ -19,7 +19,8 @@ other node.
 Searching.  A query starts at the nearest of a bounded sample of landmarks and
 of the longest vectors, and at its own node if it has one; each round joins the
 best nodes it has not expanded with their neighbours, scores those by the inner
-product of the original parts, and keeps the BEAM best.  The scores that are returned are inner products of the original vectors in double
+product of the original parts, and keeps the BEAM best, until every node kept is
+expanded: however large the table, no open node beats them.  The scores that are returned are inner products of the original vectors in double
 precision.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
@@ -45,8 +46,7 @@ BLOCK = 400  # nodes of a block
 ROUNDS = 7  # at most; fewer where a round finds next to nothing new
 LANDMARKS = 512  # bounded sample, and as many of the longest; a byte a component each is broadcast
 BEAM = 128
-EXPAND = 12
-SEARCH_ROUNDS = 4
+EXPAND = 24  # nodes of a query that one round of the search expands
 PLACES = 128  # meeting places (or nodes) that one task call handles
 
 
@@ -258,7 +258,8 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> Dat
     both = graph.select("node", "nbr").union(_sampled_reverse(graph.withColumn("fresh", F.lit(0)), 99).select(F.col("v").alias("node"), F.col("p").alias("nbr")))
     ways = cut(both.groupBy("node").agg(F.collect_set("nbr").alias("nbrs")))  # at most K + REVERSE each
     state = cut(beam(start.union(mine).withColumn("done", F.lit(0))))
-    for _ in range(SEARCH_ROUNDS):
+    # ends: each round expands a node of every open query, and one that leaves the beam never comes back
+    while not state.where("done = 0").isEmpty():
         open_rows = state.where("done = 0").withColumn("r", F.row_number().over(w)).where(F.col("r") <= EXPAND).drop("r")
         found = open_rows.join(ways, "node").select("query", F.explode("nbrs").alias("node")).distinct()
         found = found.join(state.select("query", "node"), ["query", "node"], "left_anti")

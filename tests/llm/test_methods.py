@@ -314,6 +314,22 @@ def test_neighbours_of_mixed_lengths(spark, spread):
     assert np.mean(hits) >= 0.9
 
 
+def test_search_goes_on_while_open_nodes_are_left(spark, monkeypatch):
+    """A path of neighbours: the best nodes are more rounds away from the landmarks than any fixed few."""
+    monkeypatch.setattr(ann, "LANDMARKS", 1)
+    n = 60
+    t = np.linspace(0, np.pi, n)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))], 1.0) for i, a in enumerate(t)]
+    nodes = ann.cut(spark.createDataFrame(rows, "node long, v array<double>, length double").select("node", ann._coder(1.0)("v").alias("code"), "length"))
+    path = [(i, j, 0.0) for i in range(n) for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < n]
+    graph = spark.createDataFrame(path, "node long, nbr long, sim float")
+    asked = nodes.select(F.col("node").alias("query"), "code", F.lit(None).cast("long").alias("own")).where(f"query in (0, {n // 2}, {n - 1})")
+    found = {}
+    for r in ann.greedy_search(asked, nodes, graph).collect():
+        found.setdefault(r["query"], set()).add(r["node"])
+    assert all(found[q] >= set(sorted(range(n), key=lambda i: abs(i - q))[:20]) for q in (0, n // 2, n - 1))
+
+
 def test_pipeline_stages(spark, texts, labels, scratch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, ids = docs.columns, {}
