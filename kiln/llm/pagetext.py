@@ -3,7 +3,11 @@
 A page is read once as a stream of tags and text.  Block tags part the text
 into blocks; each block knows its length, the share of its characters inside
 links, its stop-word density, and what it stands in: a navigation, form or
-footer (by tag, or by the words of a class, id or role), or an article.
+footer (by tag, or by the words of a class, id or role), or an article.  Body,
+article and main end the furniture they stand in, and class words say nothing
+of an element that holds an article or main.  Text of svg, math, object and
+noscript counts inside an article and nowhere else; a head that is not closed
+ends with the first text or block that cannot stand in it.
 
 First pass, each block on its own: blocks in such furniture and blocks made of
 links are bad, long blocks with many stop words are good, and what is short or
@@ -38,7 +42,8 @@ STOP_WORDS = frozenset(
         "al como con de del el ella en es esta este fue ha la las le lo los más no o para pero por que se si sin sobre su sus un una y"
     ).split()
 )
-_RAW = "script|style|noscript|template|textarea|svg|iframe|object|math"
+_RAW = "script|style|template|textarea|iframe"
+_EMBEDDED = frozenset("math noscript object svg".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<({_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*+>|\Z)"
@@ -76,26 +81,54 @@ class Block:
         self.text, self.linked, self.furniture, self.article = text, linked, furniture, article
 
 
-def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_article):
-        return True
+class _Open:
+    """An open block tag; whether it is furniture is known once it is closed."""
+
+    __slots__ = ("tag", "up", "by_tag", "by_words", "article", "holds", "known")
+
+    def __init__(self, tag: str, attributes: str, up: _Open | None):
+        self.tag, self.up, self.holds, self.known = tag, up, False, None
+        self.article = tag in ("article", "main") or (up is not None and up.article)
+        self.by_tag = tag in FURNITURE_TAGS or (tag == "header" and not self.article)
+        self.by_words = tag != "html" and tag not in _OWN_GROUND and _furniture_words(attributes)
+
+    def furniture(self) -> bool:
+        chain, at = [], self
+        while at is not None and at.known is None:
+            chain.append(at)
+            at = at.up
+        above = at.known if at is not None else False
+        for x in reversed(chain):
+            above = x.known = x.tag not in _OWN_GROUND and (above or x.by_tag or (x.by_words and not x.holds))
+        return above
+
+
+#: Tags that end the furniture around them.
+_OWN_GROUND = frozenset("article body main".split())
+
+
+def _furniture_words(attributes: str) -> bool:
     for m in _ATTRIBUTE.finditer(attributes):
         value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
         if not FURNITURE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return tag not in ("html", "body")
+            return True
     return False
 
 
 def blocks_of(page: str) -> list[Block]:
     """The non-empty blocks of a page, in its order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open block tags: name, furniture, article
+    places: list[_Open | None] = []  # what each block stands in
+    stack: list[_Open] = []
     parts: list[str] = []
-    links = linked = at = 0
+    links = linked = at = drawings = 0
+    skipped = ""  # embedded element outside an article that is not read
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not skipped:
+            if stack and stack[-1].tag == "head" and raw.strip():
+                stack.pop()
             parts.append(raw)
             if links:
                 linked += len(raw.strip())
@@ -105,8 +138,9 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                top = stack[-1] if stack else ("", False, False)
-                out.append(Block(text, linked, top[1], top[2]))
+                top = stack[-1] if stack else None
+                places.append(top)
+                out.append(Block(text, linked, False, top is not None and top.article))
             parts.clear()
         linked = 0
 
@@ -116,7 +150,21 @@ def blocks_of(page: str) -> list[Block]:
         tag = (m.group(3) or "").lower()
         if not tag:
             continue
-        if tag == "a":
+        if skipped:
+            if m.group(2) and tag == skipped:
+                skipped = ""
+            continue
+        if tag in _EMBEDDED:
+            if m.group(2):
+                drawings -= tag == "svg" and drawings > 0
+            elif not m.group(4).endswith("/"):
+                if stack and stack[-1].article:
+                    drawings += tag == "svg"
+                else:
+                    skipped = tag
+        elif drawings and tag in ("text", "title", "desc"):
+            parts.append(" ")
+        elif tag == "a":
             links = 0 if m.group(2) else 1
         elif tag == "br":
             parts.append(" ")
@@ -124,19 +172,24 @@ def blocks_of(page: str) -> list[Block]:
             close()
             links = 0
             if m.group(2):
-                names = [s[0] for s in stack]
+                names = [s.tag for s in stack]
                 if tag in names:
                     del stack[len(names) - 1 - names[::-1].index(tag) :]
             elif tag not in _VOID:
-                while stack and stack[-1][0] == "p":
+                while stack and (stack[-1].tag == "p" or (stack[-1].tag == "head" and tag != "title")):
                     stack.pop()
-                if tag == "li" and stack and stack[-1][0] == "li":
+                if tag == "li" and stack and stack[-1].tag == "li":
                     stack.pop()
-                _, furniture, article = stack[-1] if stack else ("", False, False)
-                furniture = furniture or _is_furniture(tag, m.group(4), article)
-                stack.append((tag, furniture, article or tag in ("article", "main")))
+                if tag in ("article", "main"):
+                    around = stack[-1] if stack else None
+                    while around is not None and not around.holds:
+                        around.holds = True
+                        around = around.up
+                stack.append(_Open(tag, m.group(4), stack[-1] if stack else None))
     add(page[at:])
     close()
+    for block, place in zip(out, places):
+        block.furniture = place is not None and place.furniture()
     return out
 
 

@@ -240,6 +240,25 @@ def test_page_text_without_furniture():
     assert pagetext.main_text(page).split("\n\n") == ["Head", "This is the first part of the story and it has all that one would want of it & more.", "Short."]
 
 
+STORY = "This is the first part of the story and it has all that one would want of it and more."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><div class="layout has-sidebar"><article><p>{STORY}</p></article><div class="sidebar"><p>More</p></div></div></body>',
+        f'<article class="post category-social"><p>{STORY}</p></article>',
+        f"<form><main><p>{STORY}</p></main></form>",
+        f"<html><head><title>T</title><body><article><p>{STORY}</p></article></body></html>",
+        f"<head><title>T</title><article><p>{STORY}</p></article>",
+        f'<svg><title>Icon</title></svg><noscript>On</noscript><article><p>{STORY.replace("story", "<math><mi>story</mi></math>")}</p></article>',
+        f"<article><noscript><p>{STORY}</p></noscript></article>",
+    ],
+)
+def test_page_text_of_articles_in_odd_places(page):
+    assert pagetext.main_text(page) == STORY
+
+
 def test_rank_against_power_iteration(spark):
     edges = [("a", "b", 2.0), ("b", "c", 1.0), ("a", "c", 1.0), ("c", "a", 1.0), ("d", "c", 3.0)]
     seeds = [("a", 1.0, 0.0), ("b", 0.0, 0.0), ("c", 0.0, 1.0), ("d", 0.0, 0.0)]
