@@ -126,8 +126,10 @@ def feature_columns(stats: Column) -> list[Column]:
 
 P = 6
 #: Least standard deviation per feature.  Keeps a group in which a statistic is
-#: (nearly) constant from rejecting texts for a tiny difference in it.
-SCALE_FLOOR = (0.08, 0.25, 0.25, 0.25, 0.5, 0.5)
+#: (nearly) constant from rejecting texts for a tiny difference in it, and low
+#: enough that each statistic alone can pass CUTOFF: in a group without any,
+#: beyond 30 % of repeated words or 61 % of repeated lines (two equal lines stay).
+SCALE_FLOOR = (0.08, 0.25, 0.25, 0.25, 0.25, 0.35)
 
 
 def chi2_quantile(q_normal: float, p: int) -> float:

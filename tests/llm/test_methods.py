@@ -63,6 +63,31 @@ def test_mcd_ignores_planted_outliers(spark):
     assert all(r["kept"] == (r["doc_id"] % 3 != 0) for r in out)
 
 
+def test_each_statistic_rejects_alone(spark):
+    """In a clean group of plain texts, one planted outlier per statistic; repeated lines and words as far as the base rules let them."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklm"), rng.integers(3, 9)))
+    words = lambda n: [word() for _ in range(n)]
+    plain = lambda: "\n".join(" ".join(words(50)) for _ in range(20))
+    passage = words(200)
+    planted = [
+        " ".join(w * 5 for w in words(400)),
+        " ".join(w + "%%%" for w in words(400)),
+        " ".join(w.upper() for w in words(400)),
+        " ".join(w + "..." for w in words(400)),
+        " ".join(passage + words(500) + passage),  # 44 % of the words, one line
+        plain() + "\nread more" * 100,  # 82 % of the lines
+    ]
+    rows = [(i, plain()) for i in range(300)] + [(1000 + i, t) for i, t in enumerate(planted)] + [(2000, "same line of text here\n" * 2 + " ".join(words(400)))]
+    df = spark.createDataFrame([(i, t, "en", "hot") for i, t in rows], "doc_id int, text string, lang string, source string")
+    out = quality.quality_rules(df).collect()
+    assert not any(r["base_failed"] for r in out)
+    assert {r["doc_id"] for r in out if not r["kept"]} == {1000 + i for i in range(len(planted))}
+    # no group, however quiet, puts a share's reach below the cutoff
+    for floor, most in ((quality.SCALE_FLOOR[4], 0.5), (quality.SCALE_FLOOR[5], 1.0)):
+        assert (np.log((most + 0.1) / 0.1) / floor) ** 2 > quality.CUTOFF
+
+
 def test_toxicity_held_out(spark, labels):
     got = queries.QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1")
     truth = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
