@@ -124,8 +124,8 @@ def _segment_udf(weights):
         for lo, hi, data, off in ts.slices(col):
             bucket, row, b_start, b_end = token_buckets(data, off)
             n_tokens[lo:hi] = np.bincount(row, minlength=hi - lo)
-            s = w[bucket] - TOKEN_COST
-            through = np.cumsum(s)
+            s = w[bucket].astype(np.float64) - TOKEN_COST
+            through = np.cumsum(s)  # in double: a single sum over millions of tokens loses the cost of one
             up = np.flatnonzero(s > 0)
             if not len(up):
                 continue

@@ -115,6 +115,20 @@ def test_segments_are_maximal(spark):
         assert [(a, b) for _, a, b in got] == brute(s.tolist(), 0, len(s))
 
 
+def test_segments_of_a_long_text_do_not_drift(monkeypatch):
+    """After millions of tokens the cost of a token still counts: two weights apart by clean text stay apart."""
+    n = 4_000_000
+    bucket = np.zeros(n, np.int64)
+    bucket[[n - 30, n - 10]] = 1
+    place = np.arange(n, dtype=np.int64)
+    monkeypatch.setattr(toxicity, "token_buckets", lambda data, off: (bucket, place * 0, place, place + 1))
+    monkeypatch.setattr(toxicity.F, "arrow_udf", lambda f, returnType: f)
+    weights = type("W", (), {"value": np.array([-2.0, 3.0], np.float32)})
+    got = toxicity._segment_udf(weights)(toxicity.pa.array(["a" * n])).to_pylist()[0]
+    assert len(got["scores"]) == 2
+    assert np.allclose(got["scores"], 3.0 - toxicity.TOKEN_COST, atol=1e-6)
+
+
 def _shingles(text, width):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not w:
