@@ -103,12 +103,47 @@ def top_k_per_group(
     group (a superset of the global ones), so a hot group ships at most
     k distinct values (plus ties) per task instead of all its rows.  Spark
     adds the limit for ``k`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``
-    (1000 by default); a larger ``k`` falls back to a plain window.
+    (1000 by default); for a larger ``k`` use :func:`top_values_per_group`.
     """
     w = Window.partitionBy(*partition_by).orderBy(order_by)
     return df.withColumn(rank_col, F.dense_rank().over(w)).where(F.col(rank_col) <= k)
 
 
+def top_values_per_group(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    value: str,
+    k: int,
+    *,
+    descending: bool = True,
+    rank_col: str = "rank",
+    parts: int = 32,
+) -> DataFrame:
+    """Rows whose ``dense_rank`` by ``value`` inside their group is at most ``k``, for any ``k`` and any skew.
+
+    Ranks are ranks of distinct values, so rows take no part in the windows:
+    distinct (group, value) pairs, deduplicated before the shuffle, are dealt
+    over ``parts`` per group by hash of the value, and each part keeps its first
+    ``k``; the at most ``parts`` x ``k`` values left of a group are ranked, and
+    the first ``k`` join back to the rows.  A group with a third of all rows is
+    thus ranked by many tasks; a single value that frequent is split by AQE in
+    the join.  NULL groups and values count like others (NULL ranks last when
+    ``descending``, first otherwise).
+    """
+    keys = [f"__key{i}" for i in range(len(partition_by))]
+    pairs = df.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(partition_by, keys)], F.col(f"`{value}`").alias("__value")).distinct()
+    order = F.col("__value").desc() if descending else F.col("__value").asc()
+    part = F.pmod(F.xxhash64("__value"), F.lit(parts))
+    near = pairs.withColumn("__part", part)
+    near = near.withColumn("__n", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(order))).where(F.col("__n") <= k)
+    ranked = near.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(order))).where(F.col(rank_col) <= k)
+    ranks = ranked.select(*keys, "__value", rank_col)
+    on = F.col(f"`{value}`").eqNullSafe(F.col("__value"))
+    for c, x in zip(partition_by, keys):
+        on = on & F.col(f"`{c}`").eqNullSafe(F.col(x))
+    return df.join(ranks, on).select(*[F.col(f"`{c}`") for c in df.columns], rank_col)
+
+
 def pivot_agg(
     df: DataFrame,
     group_by: Sequence[str],

@@ -121,6 +121,12 @@ GROUP BY l_returnflag, l_linestatus ORDER BY Total DESC, l_returnflag, l_linesta
     "float_stats": f"""SELECT MIN(quantity) AS MinQuantity, MAX(quantity) AS MaxQuantity,
        AVG(CAST(quantity AS DOUBLE)) AS AvgQuantity, SUM(CAST(quantity AS DOUBLE)) AS SumQuantity FROM ({TYPED_LINES})""",
     "bucketed_join": "SELECT o.*, c.* FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+    "bucketed_join_hot": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE 1 END AS account, c_custkey, c_name
+FROM orders JOIN customer ON c_custkey = CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE 1 END""",
+    "csv_split_malformed": """WITH e AS (SELECT event_id, event_type,
+  CASE WHEN event_id % 50 = 0 THEN 'n/a' WHEN event_id % 77 = 0 THEN '99999999999' ELSE CAST(user_id AS VARCHAR) END AS n FROM events)
+SELECT event_id, event_type, CAST(n AS INTEGER) AS n, CAST(NULL AS VARCHAR) AS line FROM e WHERE event_id % 50 <> 0 AND event_id % 77 <> 0
+UNION ALL SELECT NULL, NULL, NULL, event_id || ',' || event_type || ',' || n FROM e WHERE event_id % 50 = 0 OR event_id % 77 = 0""",
     "cached_join": """WITH j AS (SELECT c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey),
 k AS (SELECT c_custkey, count(*) AS orders FROM j GROUP BY c_custkey)
 SELECT 'customers' AS kind, CAST(orders AS VARCHAR) AS name, count(*) AS n FROM k GROUP BY orders
@@ -179,6 +185,8 @@ FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey""",
     "in_list_group_sum": f"WITH {SUPPLIED} SELECT * FROM sup",
     "top_per_group_sql": TOP5,
     "top_per_group_df": TOP5,
+    "top_values_per_group": """SELECT * FROM (SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+  CAST(dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS INTEGER) AS place FROM lineitem) WHERE place <= 5000""",
     "add_status_column": PRICED,
     "drop_column": f"SELECT * EXCLUDE (l_tax) FROM ({PRICED})",
     "rename_column": f"SELECT * EXCLUDE (l_tax, status), status AS price_status FROM ({PRICED})",
@@ -207,7 +215,20 @@ FROM orders o JOIN users u ON o.o_custkey = u.uid""",
     "table_update": _V1 + " SELECT * FROM v2",
     "table_delete": _V1 + " SELECT * FROM v3",
     "table_merge_upsert": _V1 + " SELECT * FROM v4",
+    "append_stored_schema": _V1 + """ SELECT * FROM v1
+UNION ALL SELECT loan_id, funded_amnt, paid_amnt, addr_state, NULL FROM loans WHERE loan_id % 2 = 0""",
+    "partitioned_update": f"""WITH {LOANS} SELECT loan_id, funded_amnt, paid_amnt,
+       CASE WHEN addr_state = 'HOUSEHOLD' THEN 'FURNITURE' ELSE addr_state END AS addr_state FROM loans""",
+    "partitioned_delete": f"WITH {LOANS} SELECT * FROM loans WHERE NOT coalesce(addr_state = 'BUILDING' AND funded_amnt >= paid_amnt, false)",
+    "partitioned_merge": f"""WITH {LOANS},
+ch AS (SELECT loan_id, funded_amnt, paid_amnt, CASE WHEN loan_id % 30 = 0 THEN 'MACHINERY' ELSE addr_state END AS addr_state
+       FROM loans WHERE addr_state = 'BUILDING' AND loan_id % 10 = 0)
+SELECT * FROM loans WHERE loan_id NOT IN (SELECT loan_id FROM ch)
+UNION ALL SELECT loan_id, CAST(funded_amnt + 1 AS INTEGER), paid_amnt, addr_state FROM ch
+UNION ALL SELECT loan_id + 10000000, CAST(funded_amnt + 1 AS INTEGER), NULL, addr_state FROM ch""",
     # ------------------------------------------------------------ stream
+    "stream_batch_table": "SELECT * FROM orders",
+    "stream_drift": "SELECT *, CASE WHEN NOT coalesce(o_orderdate < TIMESTAMP '1998-01-01', false) THEN CAST(trunc(o_totalprice * 100) AS BIGINT) END AS cents FROM orders",
     "stream_append": "SELECT * FROM orders",
     "stream_timed": "SELECT * FROM orders",
 }

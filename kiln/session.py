@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from kiln import paths
+
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
@@ -48,8 +50,7 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a :func:`scratch_path` folder; whoever asked for the path owns it."""
     if not path.startswith(f"{shared_dir(spark)}/kiln/"):
         raise ValueError(f"{path} is no scratch path")
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    paths.delete(spark, path)
 
 
 def local_session(

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType
 
 from kiln.operators.relational import sort_spread
 
@@ -50,6 +50,32 @@ def read_csv_declared(spark: SparkSession, path: str, schema: StructType, *, sep
     return spark.read.schema(schema).options(**opts).csv(path)
 
 
+def split_csv(
+    spark: SparkSession, path: str, schema: StructType, out: str, *, sep: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """CSV with a declared schema, parted into typed rows and rejected lines.
+
+    A line with a cell that does not fit its type, or with more or fewer cells
+    than columns, is rejected as it stands (columns ``line`` and ``file``); every
+    other line is a typed row.  One scan parses and writes both parts under
+    ``out``, which is new, so each line is parsed once and lands in exactly one
+    part.  Empty lines hold no record and are in neither.
+    """
+    line = "line"
+    while line in schema.names:
+        line = f"_{line}"
+    whole = StructType([*schema.fields, StructField(line, StringType())])
+    opts = {"header": str(header).lower(), "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": line, **_TEXT_TS_OPTIONS}
+    rows = spark.read.schema(whole).options(**opts).csv(path)
+    rows = rows.select("*", F.col(f"`{line}`").isNotNull().alias("_rejected"), F.col("_metadata.file_path").alias("_file"))
+    rows.write.partitionBy("_rejected").parquet(out)
+    stored = StructType([*whole.fields, StructField("_file", StringType()), StructField("_rejected", BooleanType())])
+    back = spark.read.schema(stored).parquet(out)
+    good = back.where(~F.col("_rejected")).select(*[F.col(f"`{c}`") for c in schema.names])
+    bad = back.where(F.col("_rejected")).select(F.col(f"`{line}`").alias("line"), F.col("_file").alias("file"))
+    return good, bad
+
+
 def read_csv_text(spark: SparkSession, path: str, *, sep: str = ",") -> DataFrame:
     """CSV read with the header only: every column is a string."""
     return spark.read.options(header="true", sep=sep).csv(path)

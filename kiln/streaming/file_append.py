@@ -5,15 +5,22 @@ column is read without it) and Spark's own file sink.  The sink's record of
 committed batches lies in the output directory and the source's progress in
 the checkpoint, so the two belong together: a rerun or restart on the same
 checkpoint adds each file's rows once, and a new checkpoint reads the whole
-source and needs a new output directory.
+source and needs a new output directory.  Readers of that directory see the
+sink's files only; a table that batch code writes too is streamed into by
+:mod:`kiln.streaming.table_append`.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
+from kiln import paths
+from kiln.operators.tables import SINK_LOG
+
 DEFAULT_TRIGGER = "10 seconds"
 
 
@@ -32,11 +39,6 @@ def file_stream(
     return reader.load(source_dir)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def start_append(
     stream: DataFrame,
     output_dir: str,
@@ -50,11 +52,16 @@ def start_append(
     ``available_now`` processes what is in the source and stops; otherwise a
     processing-time ``trigger`` is used.  An output directory that another
     checkpoint has filled is refused: the sink would take the new run's first
-    batches for ones it has already and skip them.
+    batches for ones it has already and skip them.  So is one with files that no
+    stream wrote: the sink's log would hide them from every later read (use
+    :func:`kiln.streaming.stream_into_table` there).
     """
     spark = stream.sparkSession
-    if _exists(spark, f"{output_dir}/_spark_metadata") and not _exists(spark, f"{checkpoint_dir}/offsets"):
+    logged = paths.exists(spark, f"{output_dir}/{SINK_LOG}")
+    if logged and not paths.exists(spark, f"{checkpoint_dir}/offsets"):
         raise ValueError(f"{output_dir} was written from another checkpoint; a new checkpoint needs a new directory")
+    if not logged and paths.has_data(spark, output_dir):
+        raise ValueError(f"{output_dir} holds files that no stream wrote, which the sink would hide; use stream_into_table")
     writer = stream.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", output_dir).option("checkpointLocation", checkpoint_dir)
     if available_now:
@@ -64,13 +71,50 @@ def start_append(
     return writer.start()
 
 
+class _BatchEnds(StreamingQueryListener):
+    """Notices when a batch of one query has been committed."""
+
+    def __init__(self, query: StreamingQuery):
+        self.query_id, self.seen = str(query.id), threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        if str(event.progress.id) == self.query_id:
+            self.seen.set()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if str(event.id) == self.query_id:
+            self.seen.set()
+
+
 def run_for(query: StreamingQuery, seconds: float | None) -> None:
-    """Wait ``seconds`` then stop; ``None`` or a negative value waits until the query ends by itself."""
+    """Run ``seconds``, then stop once the batch that is running has been committed.
+
+    ``None`` or a negative value waits until the query ends by itself.  A
+    listener tells when the running batch ends, so the time is exceeded by that
+    batch at most; a batch that begins in the moment before the stop leaves
+    nothing behind, since the sink commits whole batches only.
+    """
     if seconds is None or seconds < 0:
         query.awaitTermination()
-    else:
-        query.awaitTermination(seconds)
+        return
+    streams = SparkSession.active().streams
+    ends = _BatchEnds(query)
+    streams.addListener(ends)
+    try:
+        if query.awaitTermination(max(seconds, 0.01)):
+            return
+        ends.seen.clear()
+        while query.isActive and query.status["isTriggerActive"] and not ends.seen.wait(0.1):
+            pass
         query.stop()
+    finally:
+        streams.removeListener(ends)
 
 
 def stream_files(

@@ -74,3 +74,50 @@ def test_merge_against_a_dictionary(spark):
     source = spark.range(1500, 2500, 3).select(F.col("id").alias("k"), F.lit(1).alias("v"), F.lit("u").alias("s"))
     expect = {i: "t" for i in range(2000)} | {i: "u" for i in range(1500, 2500, 3)}
     assert {r["k"]: r["s"] for r in tables.merge(have, source, "k").collect()} == expect
+
+
+# ------------------------------------------------------- what the files say
+
+
+def test_append_is_held_against_the_files(spark, scratch):
+    spark.createDataFrame([("1", 1.0)], "loan_id string, Paid double").write.parquet(scratch)
+    before = spark.read.parquet(scratch).collect()
+    for ddl, row in (("loan_id long", (2,)), ("Loan_ID string", ("2",)), ("loan_id string, paid double", ("2", 2.0))):
+        rows_ = spark.createDataFrame([row], ddl)
+        with pytest.raises(tables.SchemaMismatchError):
+            tables.append_files(spark, scratch, rows_.schema, rows_, evolve=True)
+    assert spark.read.parquet(scratch).collect() == before  # nothing was written
+    stale = spark.createDataFrame([], "loan_id string").schema
+    got = tables.append_files(spark, scratch, stale, spark.createDataFrame([("3",)], "loan_id string"))
+    assert got.names == ["loan_id", "Paid"]  # the files know a column that the caller did not
+
+
+def test_stored_schema(spark, scratch):
+    assert tables.stored_schema(spark, f"{scratch}/none") is None
+    spark.createDataFrame([(1, (2,))], "a int, st struct<p:int>").write.parquet(scratch)
+    spark.createDataFrame([(1, (2, "x"), True)], "a int, st struct<p:int,q:string>, b boolean").write.mode("append").parquet(scratch)
+    assert tables.stored_schema(spark, scratch).simpleString() == "struct<a:int,st:struct<p:int,q:string>,b:boolean>"
+    spark.createDataFrame([("x",)], "a string").write.mode("append").parquet(scratch)
+    with pytest.raises(tables.SchemaMismatchError):
+        tables.stored_schema(spark, scratch)
+
+
+def test_merge_keeps_what_the_source_does_not_say(spark, table):
+    source = spark.createDataFrame([(1, "z"), (9, "new")], "k long, s string")
+    got = tables.merge(table, source, "k")
+    assert rows(got) == rows_of((1, 10, "z"), (2, None, "b"), (None, 30, "c"), (4, 40, None), (9, None, "new"))
+    overwritten = tables.merge(table, spark.createDataFrame([(1, None, None)], SCHEMA), "k")
+    assert (1, None, None) in rows(overwritten)  # a NULL that the source does say
+    wider = spark.createDataFrame([(1, "z", True)], "k long, s string, extra boolean")
+    with pytest.raises(tables.SchemaMismatchError):
+        tables.merge(table, wider, "k")
+    assert rows(tables.merge(table, wider, "k", evolve=True).where("extra").drop("extra")) == [(1, 10, "z")]
+    for ddl, row in (("k long, v string", (1, "1")), ("k string", ("1",)), ("k long, V int", (1, 1))):
+        with pytest.raises(tables.SchemaMismatchError):
+            tables.merge(table, spark.createDataFrame([row], ddl), "k", evolve=True)
+
+
+def test_merge_changes_each_matched_row_in_place(spark):
+    have = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 3, "c")], SCHEMA)
+    got = tables.merge(have, spark.createDataFrame([(1, "new")], "k long, s string"), "k")
+    assert rows(got) == rows_of((1, 1, "new"), (1, 2, "new"), (2, 3, "c"))
