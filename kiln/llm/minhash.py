@@ -43,7 +43,6 @@ from .common import by_value, cut, fresh, text_or_empty
 ROWS, BANDS = 6, 45
 BINS = ROWS * BANDS
 ATTEMPTS = 64
-SKETCHED = 300  # shingles from which on sketches may rule a pair out
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +75,8 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndar
     return r[new], h[new]
 
 
-def bin_values(row: np.ndarray, h: np.ndarray, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that have shingles, their bins' values) from sorted distinct shingle hashes, empty bins filled."""
+def bin_values(row: np.ndarray, h: np.ndarray, bins: int = BINS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows that have shingles, their bins' values, which bins are their own) from sorted distinct shingle hashes, empty bins filled."""
     bin_of = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
     key = row * bins + bin_of
     first = np.ones(len(h), bool)
@@ -104,7 +103,7 @@ def bin_values(row: np.ndarray, h: np.ndarray, bins: int = BINS) -> tuple[np.nda
         left = np.flatnonzero(~done[i])
         place = (ts.mix(left.astype(np.uint64) * np.uint64(0xD1342543DE82EF95)) % np.uint64(bins)).astype(np.int64)
         value[i, left] = own[i, filled[np.searchsorted(filled, place) % len(filled)]]
-    return live, value
+    return live, value, full
 
 
 def signatures(row: np.ndarray, h: np.ndarray, n: int, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
@@ -112,7 +111,7 @@ def signatures(row: np.ndarray, h: np.ndarray, n: int, rows: int = ROWS, bands:
     out = np.zeros((n, bands), np.uint64)
     if not len(h):
         return out
-    live, value = bin_values(row, h, rows * bands)
+    live, value, _ = bin_values(row, h, rows * bands)
     mult = ts.multipliers(rows, seed=21)
     salt = ts.multipliers(bands, seed=22)
     value = value.reshape(len(live), bands, rows)
@@ -158,8 +157,8 @@ def _set_udf(width: int):
             counts.append(np.bincount(row, minlength=hi - lo))
             sketch = np.zeros((hi - lo, BINS), np.uint8)
             if len(h):
-                live, value = bin_values(row, h)
-                sketch[live] = (ts.mix(value) & np.uint64(255)).astype(np.uint8)
+                live, value, full = bin_values(row, h)
+                sketch[live] = np.where(full, ts.mix(value) % np.uint64(255) + np.uint64(1), np.uint64(0)).astype(np.uint8)
             sketches += [x.tobytes() for x in sketch]
         offsets = np.cumsum(np.concatenate(counts)).astype(np.int32)
         shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
@@ -168,14 +167,23 @@ def _set_udf(width: int):
     return F.arrow_udf(sets, returnType="struct<shingles:array<bigint>,sketch:binary>")
 
 
-def _agreeing() -> Column:
-    """Arrow function: number of equal bytes of two sketches."""
+def _may_link(percent: int) -> Column:
+    """Arrow function: whether two sketches leave room for the similarity.
 
-    def agree(a: pa.Array, b: pa.Array) -> pa.Array:
+    A bin that at least one of two sets fills agrees with the chance of their
+    similarity; borrowed values take no part.  Pairs six standard deviations
+    below the similarity sought are ruled out, so one that has it is lost with a
+    chance of about 1e-9.
+    """
+    p = percent / 100
+
+    def may(a: pa.Array, b: pa.Array) -> pa.Array:
         x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(c), -1) for c in (a, b))
-        return pa.array((x == y).sum(axis=1), pa.int32())
+        either = np.maximum(((x > 0) | (y > 0)).sum(axis=1), 1)
+        agree = ((x == y) & (x > 0)).sum(axis=1) / either
+        return pa.array(agree >= p - 6 * np.sqrt(p * (1 - p) / either))
 
-    return F.arrow_udf(agree, returnType="int")
+    return F.arrow_udf(may, returnType="boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -208,6 +216,19 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def join_components(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (node, comp) with the components that ``links`` (u, v) connect made one.
+
+    Links are first put between components, so each round of new links costs
+    work in proportion to them, not to all links so far.
+    """
+    of_u = label.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
+    of_v = label.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
+    between = links.join(of_u, "u").join(of_v, "v").where("cu != cv").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    step = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return cut(label.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+
+
 def _similar(part: Column, whole: Column, percent: int) -> Column:
     return 100 * part >= percent * whole
 
@@ -215,9 +236,8 @@ def _similar(part: Column, whole: Column, percent: int) -> Column:
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    Sizes that differ too much, and for sets of SKETCHED shingles or more
-    sketches that agree in less than the similarity less 0.15 of their bins
-    (over six standard deviations), save the comparison.  The member's set is
+    Sizes that differ too much and sketches that agree too little
+    (:func:`_may_link`) save the comparison.  The member's set is
     joined first: members are in few pairs.  The join on the hub, who may be in
     very many, then has rows as large as their sets, and Spark splits its large
     partitions (adaptive skew join).
@@ -226,8 +246,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sa = sets.select(F.col("node").alias("a"), F.size("shingles").alias("na"), F.col("sketch").alias("ka"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     near = pairs.join(hub, "b").join(sa, "a").where(_similar(F.least("na", "nb"), F.greatest("na", "nb"), percent))
-    small = F.least("na", "nb") < SKETCHED
-    near = near.withColumn("agree", _agreeing()("ka", "kb")).where(small | (100 * F.col("agree") >= (percent - 15) * BINS))
+    near = near.where(_may_link(percent)("ka", "kb"))
     full = near.select("a", "b", "na", "sa").join(sb, "b")
     both = full.select("a", "b", "na", F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
     linked = both.where(_similar(F.col("common"), F.col("na") + F.col("nb") - F.col("common"), percent))
@@ -273,14 +292,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     sets = cut(sets.distinct())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.MEMORY_AND_DISK)
-    comp, links = None, None
+    label = cut(wanted.select(F.col("id").alias("node"), F.col("id").alias("comp")))
     for on_bands, one_hub in ((True, True), (True, True), (False, True), (False, False)):
         if not on_bands and one_hub:
             members = cut(rare_members(members.select("node").distinct(), sets, percent))
-        if comp is None:
-            now = members.withColumn("comp", F.col("node"))
-        else:
-            now = members.join(comp, "node", "left").select(*members.columns, F.coalesce("comp", "node").alias("comp"))
+        now = members.join(label, "node")
         hub = now if on_bands else now.where("first")
         if one_hub:
             hub = hub.groupBy("key").agg(F.min(F.struct(*[c for c in now.columns if c != "key"])).alias("h")).select("key", "h.*")
@@ -298,18 +314,14 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
             pairs = pairs.where((100 + percent) * most >= percent * (F.col("n") + F.col("hub_n")))
         found = cut(_confirm(pairs.select(F.col("node").alias("a"), F.col("hub_node").alias("b")).distinct(), sets, percent))
         if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            comp = components(links)
+            label = join_components(label, found)
         if on_bands:
             rest = members.join(hubs.select("key").distinct(), "key", "left_semi")
             members = cut(rest.join(hubs.select("key", F.col("hub_node").alias("node")), ["key", "node"], "left_anti"))
     sets.unpersist()
-    home = classes.select(*same, "node", "copies")
-    if links is None:
-        home = home.where("copies > 1").select(*same, F.col("node").alias("name"))
-    else:
-        home = home.join(comp, "node", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
-        home = home.select(*same, F.coalesce("comp", "node").alias("name"))
+    moved = label.where("comp != node")
+    home = classes.select(*same, "node", "copies").join(moved, "node", "left").where((F.col("copies") > 1) | F.col("comp").isNotNull())
+    home = home.select(*same, F.coalesce("comp", "node").alias("name"))
     out = rows.select("id", *same).join(home, same, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("name", "id").alias("component_id"))
 
