@@ -104,7 +104,7 @@ def load_tokenizer(path: str, pattern: str | None = None):
         out = Tokenizer.from_file(path)
     else:
         out = tokenizer_from_ranks(path, pattern)
-    out.encode_special_tokens = True
+    out.encode_special_tokens = True  # Encoder finds special tokens itself, so chunks never hold one
     return out
 
 
@@ -147,20 +147,29 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes Arrow string arrays to flat ids; holds a tokenizer and the ids of chunks seen, up to MOST_CACHED.
+    """Encodes Arrow string arrays to flat ids; holds a tokenizer and the ids of chunks seen.
 
-    When the store is full, the chunks of the last slice stay, the others go.
+    The store is bounded in bytes: at most MOST_CACHED chunks of at most LONGEST
+    characters, and MOST_IDS ids beside those of the slice at work; longer chunks
+    are tokenised again wherever they occur.  When it is full, the chunks of the
+    last slice stay, the others go.  A worker keeps it from task to task.
+
+    Special tokens of the tokenizer's file are found as the library finds them:
+    before anything else, each as one id, with the text between them apart.
     """
 
-    MOST_CACHED = 350_000
+    MOST_CACHED = 600_000
+    LONGEST = 64
+    MOST_IDS = 4_000_000
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.shown = np.array([ord(c) for c in byte_table()], np.uint16)
-        self.forget()
-
-    def forget(self) -> None:
-        """Empty the store: a worker that waits for its next task holds the tokenizer alone."""
+        added = tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("special tokens that take in or look at their neighbours are not supported")
+        self.special = {t.content.encode(): i for i, t in added.items()}
+        self.any_special = re.compile(b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))) if added else None
         self.last: list[str] = []
         self.seen: dict[str, int] = {}
         self.flat, self.begin = array("I"), array("q", [0])
@@ -171,10 +180,9 @@ class Encoder:
         self._store(self.last, (flat[begin[k] : begin[k + 1]] for k in map(seen.__getitem__, self.last)))
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
-        """Place of each chunk in the store; new chunks are tokenised and stored."""
-        if len(self.seen) + len(chunks) > self.MOST_CACHED:
+        """Place of each chunk in the store; new chunks are tokenised and stored, long ones for this time only."""
+        if len(self.seen) + len(chunks) > self.MOST_CACHED or len(self.flat) > self.MOST_IDS:
             self._shrink()
-        self.last = chunks
         new = [c for c in chunks if c not in self.seen]
         whole = list(map(_ONE_WORD.fullmatch, new))
         words = [c for c, w in zip(new, whole) if w]
@@ -188,7 +196,12 @@ class Encoder:
         rest = [c for c, w in zip(new, whole) if not w]
         if rest:
             self._store(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
-        return np.array(list(map(self.seen.__getitem__, chunks)), np.int64)
+        place = np.fromiter(map(self.seen.__getitem__, chunks), np.int64, len(chunks))
+        long = [c for c in new if len(c) > self.LONGEST]
+        for c in long:
+            del self.seen[c]
+        self.last = [c for c in chunks if len(c) <= self.LONGEST] if long else chunks
+        return place
 
     def _store(self, chunks: list[str], each) -> None:
         k, flat, begin = len(self.begin) - 1, self.flat, self.begin
@@ -203,7 +216,37 @@ class Encoder:
             ids, id_off = self.encode(data, off)
             yield lo, hi, ids, id_off, data, off
 
+    def _special_places(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """(row, start, end, id) of special tokens, none over the border of two texts."""
+        raw, at, found = data.tobytes(), 0, []
+        while self.any_special and (m := self.any_special.search(raw, at)):
+            row = int(np.searchsorted(off, m.start(), side="right")) - 1
+            if m.end() <= off[row + 1]:
+                found.append((row, m.start(), m.end(), self.special[m.group()]))
+                at = m.end()
+            else:
+                at = m.start() + 1
+        row, start, end = (np.array([f[k] for f in found], np.int64) for k in range(3))
+        return row, start, end, [f[3] for f in found]
+
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offset of each text's ids) of texts that lie one after another in ``data``."""
+        row, start, end, special = self._special_places(data, off)
+        if not special:
+            return self._encode(data, off)
+        n = len(off) - 1
+        between = np.ones(len(data), bool)
+        for a, z in zip(start, end):
+            between[a:z] = False
+        # a text with k special tokens has k + 1 sections, which are texts of their own
+        sections = np.sort(np.concatenate([off[1:], start])) - np.sort(np.concatenate([off[:-1], end]))
+        of = np.sort(np.concatenate([np.arange(n), row]))
+        ids, id_off = self._encode(data[between], np.concatenate([[0], np.cumsum(sections)]))
+        ids = np.insert(ids, id_off[1:-1][of[1:] == of[:-1]], special)
+        count = np.bincount(of, weights=np.diff(id_off), minlength=n).astype(np.int64) + np.bincount(row, minlength=n)
+        return ids, np.concatenate([[0], np.cumsum(count)])
+
+    def _encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = len(off) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(rows + 1, np.int64)
@@ -293,7 +336,6 @@ def with_tokens(df: DataFrame, path: str, pattern: str | None = None, text_col:
                 for x in (ids, starts, ends)
             ]
             yield pa.StructArray.from_arrays(lists, names=["ids", "starts", "ends"])
-        enc.forget()
 
     return df.withColumn(out, _iterating(encode, TOKENS_TYPE)(text_or_empty(text_col)))
 
@@ -346,7 +388,6 @@ def round_trip(df: DataFrame, path: str, pattern: str | None = None, text_col: s
                 [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()), pa.array(same, pa.bool_())],
                 names=["n_tokens", "ids_sha256", "decoded_sha256", "same"],
             )
-        enc.forget()
 
     return df.withColumn(out, _iterating(digest, ROUND_TRIP_TYPE)(text_or_empty(text_col)))
 

@@ -248,7 +248,6 @@ def with_pieces(df: DataFrame, path: str, size: int, end_id: int, text_col: str
                 names=["piece", "start", "length", "crc"],
             )
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
-        enc.forget()
 
     return df.withColumn(out, _iterating(cut_up, PIECES_TYPE)(text_or_empty(text_col)))
 
