@@ -56,12 +56,25 @@ def ship_package(spark: SparkSession) -> None:
             cloudpickle.register_pickle_by_value(importlib.import_module(name))
 
 
+#: Bytes of an Arrow batch.  Spark's default is ten thousand rows or 64 MB, held by the JVM and a worker for each of
+#: an executor's tasks.
+BATCH_BYTES = "8m"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, in a session that leaves Spark's default; long rows still come whole."""
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
+
+
 def by_value(fn):
     """Decorator for operators that run Python on the executors."""
 
     @functools.wraps(fn)
     def wrapped(df, *args, **kwargs):
         ship_package(df.sparkSession)
+        bound_batches(df.sparkSession)
         return fn(df, *args, **kwargs)
 
     return wrapped

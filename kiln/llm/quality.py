@@ -237,22 +237,24 @@ def fit_groups(
         )
     )
     g = ["g_lang", "g_source"]
-    # rows carry a salt and small tables hold a line per salt, so a join never
-    # meets a whole group in one task, and sums are made partially after it
-    salt = F.pmod(F.hash(*x), F.lit(SALTS)).alias("salt")
+    # up to a number of groups the estimates are broadcast, and rows never move; beyond it rows carry a salt
+    # and estimates hold a line per salt, so a join never meets a whole group in one task
+    few = pools.count() <= BROADCAST_GROUPS
+    salt = (F.monotonically_increasing_id() % SALTS).cast("int").alias("salt")
 
-    def per_salt(small_table: DataFrame) -> DataFrame:
-        return small_table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    def meet(rows: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
+        if few:
+            return rows.join(F.broadcast(estimates), keys)
+        return rows.join(estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "salt"])
 
-    rows = rows.select("*", salt).join(per_salt(pools), ["lang_key", "source_key", "salt"])
-    rows = cut(rows.select(*g, F.pmod(F.hash(*x), F.lit(SALTS)).alias("salt"), *x))
-    gs = [*g, "salt"]
+    rows = meet(rows.select("*", salt), pools, ["lang_key", "source_key"])
+    rows = cut(rows.select(*g, "salt", *x))
 
     def quantile(c: Column, share: float) -> Column:
         return F.percentile_approx(c, F.lit(share), F.lit(2000))
 
     med = cut(rows.groupBy(*g).agg(*[quantile(c, 0.5).alias(f"m{i}") for i, c in enumerate(x)]))
-    centred = rows.join(per_salt(med), gs)
+    centred = meet(rows, med, g)
     mads = centred.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.first(f"m{i}") for i in range(P)]).alias("first"),
@@ -263,7 +265,7 @@ def fit_groups(
     z = [(x[i] - F.col("fit.centre")[i]) * F.sqrt(F.col("fit.inverse")[i * P + i]) for i in range(P)]
     length = F.greatest(F.sqrt(sum((c * c for c in z), F.lit(0.0))), F.lit(1e-9))
     sign = [c / length / F.sqrt(F.col("fit.inverse")[i * P + i]) * math.sqrt(P) for i, c in enumerate(z)]
-    signs = rows.join(per_salt(by_mad), gs).select(*g, F.col("fit.centre").alias("mid"), *[c.alias(f"x{i}") for i, c in enumerate(sign)])
+    signs = meet(rows, by_mad, g).select(*g, F.col("fit.centre").alias("mid"), *[c.alias(f"x{i}") for i, c in enumerate(sign)])
     by_sign = (
         signs.groupBy(*g)
         .agg(*_moments(x), F.first("mid").alias("mid"))
@@ -273,15 +275,15 @@ def fit_groups(
     fits = cut(by_mad.unionByName(by_sign))
     key = [*g, "start"]
     for _ in range(steps):
-        near = rows.join(per_salt(fits), gs).withColumn("d2", squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")))
+        near = meet(rows, fits, g).withColumn("d2", squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")))
         limit = cut(near.groupBy(*key).agg(quantile(F.col("d2"), SHARE).alias("most")))
-        kept = near.join(per_salt(limit), [*key, "salt"]).where(F.col("d2") <= F.col("most"))
+        kept = meet(near, limit, key).where(F.col("d2") <= F.col("most"))
         sums = kept.groupBy(*key).agg(*_moments(x))
         fits = cut(sums.select(*key, _solve("moments")("n", "first", "second").alias("fit")))
     # of the two starts, the one with the smaller determinant
     best = fits.groupBy(*g).agg(F.min_by("fit", F.struct("fit.logdet", "start")).alias("fit"))
     best = cut(best)
-    spread = rows.join(per_salt(best), gs).groupBy(*g).agg(
+    spread = meet(rows, best, g).groupBy(*g).agg(
         quantile(squared_distance(x, F.col("fit.centre"), F.col("fit.inverse")), 0.5).alias("mid_d2")
     )
     out = pools.join(best, g).join(spread, g)
@@ -310,11 +312,15 @@ def judge(df: DataFrame, fits: DataFrame, stats: str = "stats", by: tuple[str, s
 
 
 def quality_rules(df: DataFrame, text_col: str = "text", by: tuple[str, str] = ("lang", "source"), min_group: int = 200) -> DataFrame:
-    """``df`` without its text, with ``stats``, ``distance``, ``base_failed`` and ``kept`` (stored once, read twice)."""
-    s, d, k = "stats", "distance", "kept"
+    """``df`` without its text, with ``stats``, ``distance``, ``base_failed`` and ``kept`` (stored once, read twice).
+
+    Columns of ``df`` with these names stay; the new one is then called
+    ``stats_1`` and so on, with the first number that is free.
+    """
+    s, d, k, failed = (fresh(c, df) for c in ("stats", "distance", "kept", "base_failed"))
     rows = with_text_stats(df, text_col, s).drop(text_col)
     rows = cut(rows)
-    return judge(rows, fit_groups(rows, s, by, min_group=min_group), s, by, d, k).withColumn("base_failed", base_failed(F.col(s)))
+    return judge(rows, fit_groups(rows, s, by, min_group=min_group), s, by, d, k).withColumn(failed, base_failed(F.col(s)))
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -334,6 +340,8 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 def keep_quality(df: DataFrame) -> DataFrame:
     """Pipeline stage: the rows of ``df`` that the rules keep, with the columns of ``df``.
 
+    Null and empty texts go; equal rows are judged alike; of an empty table
+    nothing stays.
     Statistics are computed twice (once to fit, once to filter) so that texts
     need not be stored, and no join by document id is needed.
     """
