@@ -44,15 +44,14 @@ _PATTERNS = {
     "assign": (re.compile(_ASSIGN, re.IGNORECASE | re.ASCII), 2, 12),
     "access": (re.compile(r"AKIA[A-Z0-9]{14,}"), 0, 18),
     "hex": (re.compile(r"[0-9a-f]{16,}"), 0, 16),
-    "pem": (re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,40}PRIVATE KEY-----"), 0, 60),
+    "pem": (re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"), 0, 60),
     "bearer": (re.compile(r"\b[Bb]earer ([A-Za-z0-9._~+/-]{20,}=*)"), 1, 20),
     "jwt": (re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0, 29),
     "vendor": (re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{30,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})"), 0, 15),
-    "urlpass": (re.compile(r"://[^\s:/@]{1,64}:([^\s:/@]{6,128})@"), 1, 6),
+    "urlpass": (re.compile(r"://[^\s:/@]+:([^\s:/@]{6,})@"), 1, 6),
 }
 #: A literal that every match holds, to skip texts without it.
 _NEEDS = {"access": ("AKIA",), "pem": ("PRIVATE KEY",), "bearer": ("earer ",), "jwt": ("eyJ",), "vendor": ("gh", "glpat-", "xox", "sk_live_", "AIza"), "urlpass": ("://",)}
-_KEYWORD = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 
 SPAN_TYPE = "array<struct<kind:int,start:bigint,end:bigint,hash:bigint,random:boolean>>"
 
@@ -114,12 +113,11 @@ def ownership(df: DataFrame, candidates: str = "candidates", repo_cols=("source"
     owner = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in owner_cols])
     each = df.select(repo.alias("repo"), owner.alias("owner"), F.explode(candidates).alias("c"))
     each = each.select("repo", "owner", F.col("c.hash").alias("hash"), F.col("c.random").alias("random"))
-    # distinct (hash, owner) first: what follows has a row per owner, not per occurrence
-    pairs = each.groupBy("hash", "owner").agg(F.min("repo").alias("repo"), F.count(F.lit(1)).alias("seen"), F.max("random").alias("random"))
-    repos = pairs.groupBy("hash", "repo").agg(F.count(F.lit(1)).alias("owners"), F.sum("seen").alias("seen"), F.max("random").alias("random"))
-    out = repos.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("repos"), F.sum("owners").alias("owners"), F.sum("seen").alias("seen"), F.max("random").alias("random")
-    )
+    # distinct pairs first: what follows has a row per owner or repository, not per occurrence
+    owners = each.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n")).groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
+    repos = each.groupBy("hash", "repo").agg(F.count(F.lit(1)).alias("seen"), F.max("random").alias("random"))
+    repos = repos.groupBy("hash").agg(F.count(F.lit(1)).alias("repos"), F.sum("seen").alias("seen"), F.max("random").alias("random"))
+    out = repos.join(owners, "hash")
     few = (F.col("owners") < EXAMPLE_OWNERS) & (F.col("repos") < EXAMPLE_REPOS)
     return out.select("hash", "repos", "owners", "seen", (few & F.col("random")).alias("live"))
 
@@ -132,27 +130,30 @@ def _spans_text(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", _label(s["kind"]), s["start"], s["end"])), ",")
 
 
-def judged(rows: DataFrame, freq: DataFrame, key: str, candidates: str = "candidates") -> DataFrame:
-    """key, spans: per row with candidates its base spans and live added ones, each with owners and live flag.
+def judged(rows: DataFrame, freq: DataFrame, key: str, candidates: str = "candidates", spans: str = "spans") -> DataFrame:
+    """key, ``spans``: per row with candidates its base spans and live added ones, each with owners and live flag.
 
     ``key`` tells rows apart.  Only rows with candidates take part.
     """
-    each = rows.where(F.size(candidates) > 0).select(key, F.explode(candidates).alias("c")).select(key, "c.*")
+    each = rows.where(F.size(candidates) > 0).select(F.col(key), F.explode(candidates).alias("c")).select(key, "c.*")
     each = each.join(freq, "hash").where((F.col("kind") < len(BASE)) | F.col("live"))
     one = F.struct("start", "kind", "end", "repos", "owners", "live")
-    return each.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("spans"))
+    return each.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias(spans))
 
 
 def secret_scan(df: DataFrame, text_col: str = "text", repo_cols=("source",), owner_cols=("source", "lang")) -> DataFrame:
     """``df`` without its text, with ``candidates`` and ``spans`` (kind, start, end, repos, owners, live).
 
     Candidates are stored once: the corpus counts and the verdicts read them.
+    Where ``df`` has columns of these names, they stay, and the new ones are
+    called ``candidates_1`` and ``spans_1``, or the next number that is free.
     """
-    rows = with_candidates(df, text_col).drop(text_col)
+    c, spans = fresh("candidates", df), fresh("spans", df)
+    rows = with_candidates(df, text_col, c).drop(text_col)
     key = fresh("row_key", rows)
     rows = cut(rows.withColumn(key, F.monotonically_increasing_id()))  # stored, so the ids stay
-    spans = judged(rows, cut(ownership(rows, "candidates", repo_cols, owner_cols)), key)
-    return rows.join(spans, key, "left").drop(key)
+    found = judged(rows, cut(ownership(rows, c, repo_cols, owner_cols)), key, c, spans)
+    return rows.join(found, key, "left").drop(key)
 
 
 def op4_secrets(spark, sf_dir: str) -> DataFrame:
@@ -200,7 +201,8 @@ def _mask_udf():
 def redact_live(df: DataFrame) -> DataFrame:
     """Pipeline stage: ``df`` with live credentials replaced by their kind in angle brackets; n_chars follows.
 
-    No row is dropped.  Rows with candidates are stored once, for the corpus
+    No row is dropped; a null text stays null, equal rows are redacted alike,
+    and an empty table stays empty.  Rows with candidates are stored once, for the corpus
     counts and for the redaction; all others pass through without a shuffle.
     """
     c, key, live = fresh("candidates", df), fresh("row_key", df), fresh("live", df)

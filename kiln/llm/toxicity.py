@@ -155,26 +155,13 @@ def training_rows(labels: DataFrame, id_col: str, label_col: str, train: Column,
     return one.orderBy(F.xxhash64("train_id"), "train_id").limit(max_train)
 
 
-def first_window(col: pa.Array) -> pa.Array:
-    """Smallest hash of the 5-word windows of each text (of its words, if fewer); copies mostly share it."""
-    out = np.zeros(len(col), np.uint64)
-    for lo, hi, data, off in ts.slices(col):
-        low = ts.LOWER[data]
-        starts, ends, row = ts.words(low, off, ts.NOT_ALNUM)
-        h = ts.hash_spans(low, starts, ends, seed=11)
-        w, at = ts.windows(h, row, 5)
-        few = np.bincount(row, minlength=hi - lo) < 5
-        for value, r in ((w, row[at]), (h[few[row]], row[few[row]])):
-            if len(r):
-                first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
-                out[lo + r[first]] = np.minimum.reduceat(value, first)
-    return pa.array(out.view(np.int64))
-
-
 def one_of_each_copy(text: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of training rows whose texts are copies (equal first_window), one: copies are not independent evidence."""
-    sign = F.arrow_udf(first_window, returnType="long")
-    signed = text.join(F.broadcast(rows), "train_id").select("train_id", "train_label", sign("text").alias("copy"))
+    """Of training rows with equal texts, one: copies are not independent evidence.
+
+    Texts are compared by two 64-bit hashes and length, of at most as many rows as ``rows`` has.
+    """
+    copy = F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"), F.length("text")).alias("copy")
+    signed = text.join(F.broadcast(rows), "train_id").select("train_id", "train_label", copy)
     one = signed.groupBy("copy").agg(F.min_by(F.struct("train_id", "train_label"), F.struct("train_id", "train_label")).alias("r"))
     return cut(one.select("r.*").groupBy("train_id").agg(F.max("train_label").alias("train_label")))
 
@@ -323,7 +310,11 @@ def op5_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(df: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pipeline stage: the rows of ``df`` scored below 0.5, with the columns of ``df``."""
+    """Pipeline stage: the rows of ``df`` scored below 0.5, with the columns of ``df``.
+
+    Null and empty texts score alike, by the model's base; equal rows stay or go
+    together; without labels all rows stay, and an empty table stays empty.
+    """
     s = fresh("score", df)
     model = fit(df, labels, train=~held_out())
     return with_scores(df, model, score=s).where(F.col(s) < 0.5).select(*df.columns)

@@ -39,12 +39,15 @@ def none(spark):
 
 
 def test_quality(spark, odd, none):
+    clash = quality.quality_rules(odd)  # has columns stats and kept of its own
+    assert {"stats", "stats_1", "kept", "kept_1", "distance", "base_failed"} <= set(clash.columns)
+    assert clash.where("stats = 's' AND kept = 1").count() == 8
     out = quality.quality_rules(odd.drop("stats", "kept"))
     rows = {(r["doc_id"]): r for r in out.collect()}
     assert out.count() == 8 and all(r["base_failed"] and not r["kept"] for r in rows.values())
     assert rows[3]["stats"]["n_words"] == 0 and rows[5]["stats"]["n_words"] == 0
     assert rows[6]["stats"]["n_words"] == 30_000 * 5
-    assert quality.quality_rules(none.drop("stats", "kept")).count() == 0
+    assert quality.quality_rules(none).count() == 0
     assert quality.keep_quality(odd).columns == odd.columns
     assert quality.keep_quality(none).count() == 0
 
@@ -77,6 +80,9 @@ def test_minhash(spark, odd, none):
 
 
 def test_secrets(spark, odd, none):
+    clash = secrets.secret_scan(odd.withColumn("spans", F.lit("mine")))
+    assert clash.columns.count("spans") == 1 and {"candidates_1", "spans_1", "row_key"} <= set(clash.columns)
+    assert clash.where("spans = 'mine' AND candidates = 2").count() == 8 and clash.where("size(spans_1) = 1").count() == 1
     out = secrets.secret_scan(odd.drop("candidates", "row_key")).collect()
     assert len(out) == 8
     hit = next(r for r in out if r["doc_id"] == 7)
@@ -106,6 +112,7 @@ def test_packing(spark, odd, none):
             at += length
         assert at <= 1024
     assert packing.pack(none, path).count() == 0
+    assert packing.pack_documents(none).count() == 0
 
 
 def test_bpe(spark, odd, none):
