@@ -58,7 +58,7 @@ def ship_package(spark: SparkSession) -> None:
 
 #: Bytes of an Arrow batch.  Spark's default is ten thousand rows or 64 MB, held by the JVM and a worker for each of
 #: an executor's tasks.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 

@@ -287,11 +287,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     members = cut(entries.join(shared, "key"))
     wanted = members.select(F.col("node").alias("id")).distinct()
     sets = text.join(wanted, "id").select(F.col("id").alias("node"), _set_udf(width)("text").alias("s")).select("node", "s.*")
-    # stored once, and kept dealt by node for the joins of all rounds: a round
+    # stored once, and kept dealt by node, on local disks, for the joins of all rounds: a round
     # moves its pairs, not the sets; lost parts are dealt again from what is stored
     sets = cut(sets.distinct())
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.MEMORY_AND_DISK)
+    sets = sets.repartition(parts, "node").sortWithinPartitions("node").persist(StorageLevel.DISK_ONLY)
     label = cut(wanted.select(F.col("id").alias("node"), F.col("id").alias("comp")))
     for on_bands, one_hub in ((True, True), (True, True), (False, True), (False, False)):
         if not on_bands and one_hub:
