@@ -9,13 +9,14 @@ of an element that holds an article or main.  Text of svg, math, object and
 noscript counts inside an article and nowhere else; a head that is not closed
 ends with the first text or block that cannot stand in it.
 
-First pass, each block on its own: blocks in such furniture and blocks made of
-links are bad, long blocks with many stop words are good, and what is short or
-has few stop words stays open.  Second pass: an open block takes the label of
-its nearest decided neighbours on both sides within its container; between a
-good and a bad one it is good where it has some stop words or stands nearer to
-the good one.  Blocks of an article without any decided neighbour are good.
-Where a page has no good block at all, its open ones are taken.
+First pass, each block on its own: blocks in furniture and blocks made of links
+are bad, blocks with many stop words, or long ones with some, are good, and what
+is short or has few stop words stays open.  Second pass: an open block takes the
+label of its nearest decided neighbours on both sides, furniture left out;
+between a good and a bad one it is good where it has some stop words, stands in
+an article, or is nearer to the good one.  An article decides nothing else: the
+labels of a page without article or main tags come about in the same way.  Where
+a page has no good block at all, its open ones are taken.
 
 Defined results: null or empty html gives an empty text; markup that is never
 closed ends with the page; repeated rows are read alike; an empty table gives
@@ -120,15 +121,19 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     places: list[_Open | None] = []  # what each block stands in
     stack: list[_Open] = []
+    where: dict[str, list[int]] = {}  # places of each tag in the stack
     parts: list[str] = []
     links = linked = at = drawings = 0
     skipped = ""  # embedded element outside an article that is not read
 
+    def pop() -> None:
+        where[stack.pop().tag].pop()
+
     def add(raw: str) -> None:
         nonlocal linked
         if raw and not skipped:
             if stack and stack[-1].tag == "head" and raw.strip():
-                stack.pop()
+                pop()
             parts.append(raw)
             if links:
                 linked += len(raw.strip())
@@ -172,19 +177,21 @@ def blocks_of(page: str) -> list[Block]:
             close()
             links = 0
             if m.group(2):
-                names = [s.tag for s in stack]
-                if tag in names:
-                    del stack[len(names) - 1 - names[::-1].index(tag) :]
+                if where.get(tag):
+                    upto = where[tag][-1]
+                    while len(stack) > upto:
+                        pop()
             elif tag not in _VOID:
                 while stack and (stack[-1].tag == "p" or (stack[-1].tag == "head" and tag != "title")):
-                    stack.pop()
+                    pop()
                 if tag == "li" and stack and stack[-1].tag == "li":
-                    stack.pop()
+                    pop()
                 if tag in ("article", "main"):
                     around = stack[-1] if stack else None
                     while around is not None and not around.holds:
                         around.holds = True
                         around = around.up
+                where.setdefault(tag, []).append(len(stack))
                 stack.append(_Open(tag, m.group(4), stack[-1] if stack else None))
     add(page[at:])
     close()
@@ -193,49 +200,50 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def stop_share(text: str) -> float:
+    """Stop words among the words of a text."""
+    words = _INK.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
 def first_pass(b: Block) -> int:
+    """The label of a block on its own: by link density, length and stop-word density; furniture is bad."""
     n = len(b.text)
-    share = b.linked / n
-    if b.furniture or share > MOST_LINKS or (n < SHORT and share > 0 and not b.article):
+    if b.furniture or b.linked / n > MOST_LINKS:
         return BAD
     if n < SHORT:
         return OPEN
-    words = _INK.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
-    if stops >= MANY and n > LONG:
-        return GOOD
-    if b.article and stops >= FEW:
+    stops = stop_share(b.text)
+    if stops >= MANY or (stops >= FEW and n > LONG):
         return GOOD
     return OPEN
 
 
 def second_pass(blocks: list[Block], first: list[int]) -> list[int]:
     n = len(blocks)
-    before, after = [None] * n, [None] * n  # (label, distance) of the nearest decided block of the same container
+    before, after = [None] * n, [None] * n  # (label, distance in blocks) of the nearest decided block outside furniture
     for out, order in ((before, range(n)), (after, range(n - 1, -1, -1))):
-        label, place, inside = None, 0, None
+        label, far = None, 0
         for i in order:
-            if blocks[i].article != inside and not (blocks[i].furniture and first[i] == BAD):
-                label, inside = None, blocks[i].article
+            if blocks[i].furniture:
+                continue
+            far += 1
             if label is not None:
-                out[i] = (label, abs(i - place))
-            # furniture inside an article says nothing about the text around it
-            if first[i] != OPEN and not (blocks[i].article and first[i] == BAD):
-                label, place = first[i], i
+                out[i] = (label, far)
+            if first[i] != OPEN:
+                label, far = first[i], 0
     final = list(first)
     for i in range(n):
         if first[i] != OPEN:
             continue
         near = [x for x in (before[i], after[i]) if x]
         if not near:
-            final[i] = GOOD if blocks[i].article else BAD
+            final[i] = BAD
         elif len({label for label, _ in near}) == 1:
             final[i] = near[0][0]
         else:
-            words = _INK.findall(blocks[i].text.lower())
-            some = len(blocks[i].text) >= SHORT and sum(w in STOP_WORDS for w in words) >= FEW * len(words)
-            nearest = min(near, key=lambda x: (x[1], -x[0]))[0]
-            final[i] = GOOD if some else nearest
+            some = len(blocks[i].text) >= SHORT and stop_share(blocks[i].text) >= FEW
+            final[i] = GOOD if some or blocks[i].article else min(near, key=lambda x: (x[1], -x[0]))[0]
     if GOOD not in final:
         final = [GOOD if f == OPEN else x for f, x in zip(first, final)]
     return final

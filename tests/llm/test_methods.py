@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -553,3 +554,32 @@ def test_store_of_chunks_is_bounded(monkeypatch):
         a, b = next(enc.slices(col)), next(fresh_one.slices(col))
         assert (a[2] == b[2]).all() and (a[3] == b[3]).all()
         assert max(map(len, enc.seen)) <= enc.LONGEST and len(enc.seen) <= 1000
+
+
+def test_page_text_without_articles_and_classes(spark):
+    """Labels come from density, links and neighbours: with article and main tags, classes, ids and roles gone, the same blocks are found."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    found = wanted = extra = 0
+    for page in pages:
+        want = Counter(pagetext.main_text(page).split("\n\n"))
+        bare = re.sub(r"</?(?:article|main)\b[^>]*>", "", page)
+        bare = re.sub(r"""\s(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", bare)
+        got = Counter(pagetext.main_text(bare).split("\n\n"))
+        found += sum((want & got).values())
+        wanted += sum(want.values())
+        extra += sum((got - want).values())
+    assert found >= 0.95 * wanted and extra < 0.15 * wanted
+
+
+def test_an_article_decides_only_between_neighbours():
+    """Inside an article, a block made of links is no text, and density finds the text of a page whose article is mislabelled."""
+    links = "".join(f"<a href=/{i}>Read the story of the day {i}</a> " for i in range(9))
+    assert pagetext.main_text(f"<article><p>{STORY}</p><p>{links}</p></article>") == STORY
+    bare = f"<div>{links}</div><p>{STORY}</p><div>{STORY}</div><div>{links}</div>"
+    assert pagetext.main_text(bare) == f"{STORY}\n\n{STORY}"
+
+
+def test_deep_nesting_is_linear():
+    start = time.time()
+    assert pagetext.main_text("<div>" * 100_000 + "<p>x" + "</div>" * 100_000) == "x"
+    assert time.time() - start < 5
