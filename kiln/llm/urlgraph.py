@@ -43,6 +43,7 @@ DAMPING = 0.85
 THRESHOLD = 1.0
 #: Summed change of the three ranks over ``STEPS`` iterations at which they count as settled.
 TOLERANCE, STEPS = 2e-3, 6
+ROWS_PER_TASK = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)<a\b[^<>]*?\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s<>]+)"""
 
@@ -121,14 +122,17 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tole
         w.select(F.col("dst").alias("host"), F.col("src").alias("to"), zero.alias("wt"), (F.col("weight") / F.col("enters")).alias("wd"))
     )
     ways = cut(ways.groupBy("host", "to").agg(F.sum("wt").alias("wt"), F.sum("wd").alias("wd")))
+    # a host graph is small beside the pages: each iteration runs in as many tasks as its edges need
+    tasks = ways.count() // ROWS_PER_TASK + 1
+    ways = ways.coalesce(tasks)
     way = {"trust": "wt", "distrust": "wd", "reference": "wt"}
-    rest = start.select("host", *[(F.col(r) * (1 - damping)).alias(r) for r in RANKS])
-    rank = start
+    rest = start.select("host", *[(F.col(r) * (1 - damping)).alias(r) for r in RANKS]).coalesce(tasks)
+    rank = start.coalesce(tasks)
     while True:
         before = rank
         for _ in range(STEPS):
             moved = rank.join(ways, "host").select(F.col("to").alias("host"), *[(F.col(r) * F.col(way[r]) * damping).alias(r) for r in RANKS])
-            rank = moved.union(rest).groupBy("host").agg(*[F.sum(r).alias(r) for r in RANKS])
+            rank = moved.union(rest).groupBy("host").agg(*[F.sum(r).alias(r) for r in RANKS]).coalesce(tasks)
         rank = cut(rank)
         both = rank.unionByName(before.select("host", *[(-F.col(r)).alias(r) for r in RANKS]))
         changes = both.groupBy("host").agg(*[F.abs(F.sum(r)).alias(r) for r in RANKS]).agg(*[F.sum(r).alias(r) for r in RANKS]).first()
