@@ -1,12 +1,9 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
 Vectors of equal content are one class, and classes are the nodes of a graph.
-With one more component, sqrt(M^2 - |x|^2) for the largest norm M, all vectors
-have one length and nearness by inner product becomes nearness by angle, so a
-neighbour graph of the lengthened vectors serves inner product search.  A code
-holds the original part in bytes on a scale of its own, and what the added
-component lacks to one in full precision, so vectors that are short against the
-longest one stay apart.
+Nodes are linked by direction: on vectors of one length that is the order of
+inner products, and on others it keeps the long ones from becoming everyone's
+neighbours.  A code holds a vector in bytes on a scale of its own.
 
 Building.  Random hyperplanes deal the nodes by their direction over small
 blocks, a few times over, for first neighbours.  Then NN-descent: each round joins every node with
@@ -18,9 +15,13 @@ other node.
 
 Searching.  A query starts at the nearest of a bounded sample of landmarks and
 of the longest vectors, and at its own node if it has one; each round joins the
-best nodes it has not expanded with their neighbours, scores those by the inner
-product of the original parts, and keeps the BEAM best, until every node kept is
-expanded: however large the table, no open node beats them.  The scores that are returned are inner products of the original vectors in double
+best nodes it has not expanded with their neighbours, scores those by inner
+product, and keeps the best of a beam, until every node kept is expanded:
+however large the table, no open node beats them.  The beam grows with the
+table: CHECKED queries are compared with all vectors in one scan, and while the
+search finds less than GOAL of their nearest, it goes on with a beam of twice
+the width.  That scan measures only; it adds nothing to a result.  The scores
+that are returned are inner products of the original vectors in double
 precision.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,10 @@ TABLES = 4  # times that hyperplanes deal the nodes
 BLOCK = 400  # nodes of a block
 ROUNDS = 7  # at most; fewer where a round finds next to nothing new
 LANDMARKS = 512  # bounded sample, and as many of the longest; a byte a component each is broadcast
-BEAM = 128
-EXPAND = 24  # nodes of a query that one round of the search expands
+BEAM = 128  # nodes kept per query, to begin with
+EXPAND = 24  # nodes of a query that one round of the search expands, for a beam of BEAM
+GOAL = 0.95  # share of the nearest of the checked queries that the search must find
+CHECKED = 128  # queries, by smallest hash, that are compared with all vectors; their vectors are broadcast
 PLACES = 128  # meeting places (or nodes) that one task call handles
 
 
@@ -64,55 +68,47 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _coder(longest: float):
-    """Array of doubles to its code: a scale and what the added component lacks to one (4 bytes each), then one byte per component."""
+    """Array of doubles to its code: a scale (4 bytes), then one byte per component; ``longest`` keeps scales in range."""
 
     def code(col: pa.Array) -> pa.Array:
         n = len(col)
         flat = col.flatten().to_numpy(zero_copy_only=False)
         x = flat.reshape(n, -1) / longest if n else np.zeros((0, 1))
-        square = np.minimum((x * x).sum(axis=1, keepdims=True), 1)
-        lack = (square / (1 + np.sqrt(1 - square))).astype(np.float32)  # 1 - sqrt(1 - square), without cancellation
         scale = np.maximum(np.abs(x).max(axis=1, initial=0, keepdims=True) / 127, 1e-30).astype(np.float32)
         small = np.clip(np.rint(x / scale), -127, 127).astype(np.int8)
-        both = np.concatenate([scale.view(np.uint8), lack.view(np.uint8), small.view(np.uint8)], axis=1)
+        both = np.concatenate([scale.view(np.uint8), small.view(np.uint8)], axis=1)
         return pa.array([r.tobytes() for r in both], pa.binary())
 
     return F.arrow_udf(code, returnType="binary")
 
 
-def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(col: pa.Array) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     if not len(col):
-        return np.zeros((0, 1), np.float32), np.zeros(0, np.float32)
+        return np.zeros((0, 1), np.float32)
     off = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
     data = np.frombuffer(col.buffers()[2], np.uint8)[off[0] : off[-1]]
     return _vectors(data, len(col))
 
 
-def _vectors(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(original parts, what the added components lack to one) of n codes."""
+def _vectors(data: np.ndarray, n: int) -> np.ndarray:
+    """The vectors of n codes."""
     both = data.reshape(n, -1)
-    head = np.ascontiguousarray(both[:, :8]).view(np.float32)
-    return both[:, 8:].view(np.int8).astype(np.float32) * head[:, :1], head[:, 1]
+    return both[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(both[:, :4]).view(np.float32)
 
 
 def _directions(x: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one: a query's own length does not change its order."""
+    """Rows scaled to length one."""
     x = x / np.maximum(np.abs(x).max(axis=1, initial=0, keepdims=True), 1e-37)
     return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-37)
 
 
-def _nearness(x: np.ndarray, lack: np.ndarray, y: np.ndarray, y_lack: np.ndarray) -> np.ndarray:
-    """Inner products of lengthened vectors, less one: differences of short vectors are not rounded away."""
-    return x @ y.T - (lack[:, None] + y_lack - lack[:, None] * y_lack)
-
-
 def _dealer(bits: int, tables: int):
     """Code to one block key per table: the signs of random projections of the original part."""
 
     def deal(col: pa.Array) -> pa.Array:
-        x, _ = _matrix(col)
+        x = _matrix(col)
         out = np.zeros((len(x), tables), np.int64)
         for t in range(tables):
             planes = np.random.default_rng([77, t]).standard_normal((x.shape[1], max(bits, 1))).astype(np.float32)
@@ -132,11 +128,11 @@ _EDGE_TYPE = "node long, nbr long, sim float"
 
 def _block_neighbours(t):
     """The K nearest of each node inside a block, block by block of rows."""
-    ids, (x, lack) = t.column("node").to_numpy(), _matrix(t.column("code"))
+    ids, x = t.column("node").to_numpy(), _directions(_matrix(t.column("code")))
     node, nbr, sim = [], [], []
     k = min(K, len(ids) - 1)
     for at in range(0, len(ids) if k > 0 else 0, 512):
-        s = _nearness(x[at : at + 512], lack[at : at + 512], x, lack)
+        s = x[at : at + 512] @ x.T
         rows = np.arange(len(s))
         s[rows, at + rows] = -np.inf
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -151,12 +147,12 @@ def _meet(t):
     v = t.column("v").to_numpy()
     order = np.argsort(v, kind="stable")
     v, p = v[order], t.column("p").to_numpy()[order]
-    x, lack = (z[order] for z in _matrix(t.column("code")))
+    x = _directions(_matrix(t.column("code")))[order]
     worst, fresh = t.column("worst").to_numpy()[order], t.column("fresh").to_numpy(zero_copy_only=False)[order]
     node, nbr, sim = [], [], []
     bounds = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
     for a, b in zip(bounds, np.append(bounds[1:], len(v))):
-        s = _nearness(x[a:b], lack[a:b], x[a:b], lack[a:b])
+        s = x[a:b] @ x[a:b].T
         s[~(fresh[a:b, None] | fresh[None, a:b]) | (p[a:b, None] == p[None, a:b])] = -np.inf
         k = min(OFFERS, b - a)
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -216,7 +212,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def _near():
     def dot(a: pa.Array, q: pa.Array) -> pa.Array:
-        return pa.array(np.einsum("ij,ij->i", _matrix(a)[0], _directions(_matrix(q)[0])), pa.float32())
+        return pa.array(np.einsum("ij,ij->i", _matrix(a), _directions(_matrix(q))), pa.float32())
 
     return F.arrow_udf(dot, returnType="float")
 
@@ -224,7 +220,7 @@ def _near():
 def _landmark_udf(marks):
     def first(col: pa.Array) -> pa.Array:
         ids, codes = marks.value
-        q, (m, _) = _directions(_matrix(col)[0]), _vectors(np.frombuffer(b"".join(codes), np.uint8), len(codes))
+        q, m = _directions(_matrix(col)), _vectors(np.frombuffer(b"".join(codes), np.uint8), len(codes))
         k = min(BEAM, len(ids))
         s = q @ m.T
         top = np.argsort(-s, axis=1, kind="stable")[:, :k]
@@ -237,8 +233,12 @@ def _landmark_udf(marks):
     return F.arrow_udf(first, returnType="array<struct<node:bigint,sim:float>>")
 
 
-def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> DataFrame:
-    """(query, node): the BEAM best nodes (node, code, length) found for each query (query, code, own: its node or null)."""
+def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, enough=None) -> DataFrame:
+    """(query, node): the best nodes (node, code, length) found for each query (query, code, own: its node or null).
+
+    While ``enough``, a function of that result, is false, the beam is widened and the search goes on, as long as
+    a query has more nodes than its beam holds.
+    """
     spark = nodes.sparkSession
     # bounded samples: LANDMARKS rows each; few neighbours lead to the longest vectors, which many queries want
     marks = nodes.orderBy(F.xxhash64("node"), "node").limit(LANDMARKS).collect()
@@ -248,26 +248,82 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame) -> Dat
         return queries.select("query", F.col("own").alias("node")).limit(0)
     seed = _landmark_udf(spark.sparkContext.broadcast(([r["node"] for r in marks], [bytes(r["code"]) for r in marks])))
     start = queries.select("query", F.explode(seed("code")).alias("m")).select("query", "m.*")
-    mine = queries.where("own is not null").select("query", F.col("own").alias("node"), F.lit(2.0).cast("float").alias("sim"))
+    mine = queries.where("own is not null").select("query", F.col("own").alias("node"), F.lit(float("inf")).cast("float").alias("sim"))
     w = Window.partitionBy("query").orderBy(F.col("sim").desc(), "node")
 
-    def beam(rows: DataFrame) -> DataFrame:
+    def beam(rows: DataFrame, width: int) -> DataFrame:
         one = rows.groupBy("query", "node").agg(F.max("sim").alias("sim"), F.max("done").alias("done"))
-        return one.withColumn("r", F.row_number().over(w)).where(F.col("r") <= BEAM).drop("r")
+        return cut(one.withColumn("r", F.row_number().over(w)).where(F.col("r") <= width).drop("r"))
 
     both = graph.select("node", "nbr").union(_sampled_reverse(graph.withColumn("fresh", F.lit(0)), 99).select(F.col("v").alias("node"), F.col("p").alias("nbr")))
     ways = cut(both.groupBy("node").agg(F.collect_set("nbr").alias("nbrs")))  # at most K + REVERSE each
-    state = cut(beam(start.union(mine).withColumn("done", F.lit(0))))
-    # ends: each round expands a node of every open query, and one that leaves the beam never comes back
-    while not state.where("done = 0").isEmpty():
-        open_rows = state.where("done = 0").withColumn("r", F.row_number().over(w)).where(F.col("r") <= EXPAND).drop("r")
-        found = open_rows.join(ways, "node").select("query", F.explode("nbrs").alias("node")).distinct()
-        found = found.join(state.select("query", "node"), ["query", "node"], "left_anti")
-        scored = found.join(nodes, "node").join(queries.select("query", F.col("code").alias("qcode")), "query")
-        scored = scored.select("query", "node", _near()("code", "qcode").alias("sim"), F.lit(0).alias("done"))
-        opened = open_rows.select("query", "node", "sim", F.lit(1).alias("done"))
-        state = cut(beam(state.select("query", "node", "sim", "done").union(opened).union(scored)))
-    return state.select("query", "node")
+    # both stay dealt by node over the rounds; a lost part is dealt again from its checkpoint
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ways, codes = (t.repartition(parts, "node").persist(StorageLevel.DISK_ONLY) for t in (ways, nodes.select("node", "code")))
+    width = BEAM
+    state = beam(start.union(mine).withColumn("done", F.lit(0)), width)
+    while True:
+        # ends: each round expands a node of every open query, and one that leaves the beam never comes back
+        while not state.where("done = 0").isEmpty():
+            open_rows = state.where("done = 0").withColumn("r", F.row_number().over(w)).where(F.col("r") <= EXPAND * width // BEAM).drop("r")
+            found = open_rows.join(ways, "node").select("query", F.explode("nbrs").alias("node")).distinct()
+            found = found.join(state.select("query", "node"), ["query", "node"], "left_anti")
+            scored = found.join(codes, "node").join(queries.select("query", F.col("code").alias("qcode")), "query")
+            scored = scored.select("query", "node", _near()("code", "qcode").alias("sim"), F.lit(0).alias("done"))
+            opened = open_rows.select("query", "node", "sim", F.lit(1).alias("done"))
+            state = beam(state.select("query", "node", "sim", "done").union(opened).union(scored), width)
+        result = state.select("query", "node")
+        if enough is None or enough(result) or result.groupBy("query").count().where(F.col("count") >= width).isEmpty():
+            break
+        width *= 2
+        # what a narrower beam dropped is found again from the nodes that it kept
+        state = beam(start.select("query", "node", "sim").union(state.select("query", "node", "sim")).withColumn("done", F.lit(0)), width)
+    for t in (ways, codes):
+        t.unpersist()
+    return result
+
+
+def _dot(a: str, b: str):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _checker(queries: DataFrame, classes: DataFrame, k: int):
+    """Does a search result (query, node) hold GOAL of the k nearest classes (node, v) of CHECKED of the queries (query)?
+
+    Counted by score, so that ties do not matter: how many of the nodes found are as near as the k-th nearest.
+    """
+    some = queries.select("query").orderBy(F.xxhash64("query"), "query").limit(CHECKED)
+    some = cut(some.join(classes.select(F.col("node").alias("query"), F.col("v").alias("qv")), "query"))
+    rows = some.collect()
+    if not rows:
+        return None
+    asked = classes.sparkSession.sparkContext.broadcast((np.array([r["query"] for r in rows], np.int64), np.array([r["qv"] for r in rows])))
+
+    def scan(batches):
+        ids, q = asked.value
+        for t in batches:
+            node = t.column("node").to_numpy(zero_copy_only=False)
+            if not len(node):
+                continue
+            s = q @ t.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1).T
+            s[ids[:, None] == node] = -np.inf
+            top = np.argpartition(-s, min(k, len(node)) - 1, axis=1)[:, :k]
+            best = np.take_along_axis(s, top, axis=1)
+            yield pa.record_batch({"query": np.repeat(ids, best.shape[1]), "score": best.reshape(-1)})
+
+    near = classes.select("node", "v").mapInArrow(scan, "query long, score double").where("score > double('-inf')")
+    w = Window.partitionBy("query").orderBy(F.col("score").desc())
+    near = near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
+    bounds = cut(near.groupBy("query").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")))
+    wanted = bounds.agg(F.sum("n")).first()[0] or 0
+
+    def enough(found: DataFrame) -> bool:
+        got = found.where("node != query").join(some, "query").join(classes, "node").join(bounds, "query")
+        got = got.where(_dot("v", "qv") >= F.col("bound") - 1e-9 * F.abs("bound"))
+        got = got.groupBy("query", "n").count().agg(F.sum(F.least("count", "n"))).first()[0] or 0
+        return got >= GOAL * wanted
+
+    return enough
 
 
 @by_value
@@ -288,10 +344,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     # equal vectors ask alike: one search per class
     asked_classes = asked.select(F.xxhash64("v").alias("query")).distinct()
     q = cut(asked_classes.join(nodes, asked_classes["query"] == nodes["node"]).select("query", "code", F.col("node").alias("own")))
-    found = greedy_search(q, nodes, graph)
+    found = greedy_search(q, nodes, graph, _checker(q, classes, k))
     exact = found.join(classes.select("node", "v"), "node").join(classes.select(F.col("node").alias("query"), F.col("v").alias("qv")), "query")
-    dot = F.aggregate(F.zip_with("v", "qv", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    exact = exact.select("query", "node", dot.alias("score"))
+    exact = exact.select("query", "node", _dot("v", "qv").alias("score"))
     hits = exact.join(members, "node").select("query", "id", "score")
     # the k + 1 best ids of a class of queries serve each of its rows, less the row itself
     w_ids = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")

@@ -446,6 +446,33 @@ def test_neighbours_of_mixed_lengths(spark, spread):
     assert np.mean(hits) >= 0.9
 
 
+def test_beam_grows_until_the_checked_queries_are_answered(spark, monkeypatch):
+    """The check of a search result counts against all vectors; while it says no, the beam is widened."""
+    monkeypatch.setattr(ann, "BEAM", 24)
+    x = np.random.default_rng(4).standard_normal((600, 24))
+    x[500] = x[3]  # equal scores count as found
+    classes = ann.cut(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>"))
+    nodes = ann.cut(classes.select("node", ann._coder(10.0)("v").alias("code"), F.sqrt(ann._dot("v", "v")).alias("length")))
+    q = ann.cut(nodes.where("node % 20 = 0").select(F.col("node").alias("query"), "code", F.col("node").alias("own")))
+    enough = ann._checker(q, classes, 20)
+    rows = []
+    for i in range(0, 600, 20):
+        s = x @ x[i]
+        s[i] = -np.inf
+        rows += [(i, int(j), r) for r, j in enumerate(np.argsort(-s)[:20])]
+    truth = ann.cut(spark.createDataFrame(rows, "query long, node long, r int"))
+    assert enough(truth.select("query", "node")) and enough(truth.where("r < 19").select("query", "node"))
+    assert not enough(truth.where("r < 18").select("query", "node")) and not enough(truth.limit(0).select("query", "node"))
+    widths = []
+
+    def twice(found):
+        widths.append(found.groupBy("query").count().agg(F.max("count")).first()[0])
+        return len(widths) == 3
+
+    found = ann.greedy_search(q, nodes, ann.build_graph(nodes), twice)
+    assert widths == [24, 48, 96] and enough(found)
+
+
 def test_search_goes_on_while_open_nodes_are_left(spark, monkeypatch):
     """A path of neighbours: the best nodes are more rounds away from the landmarks than any fixed few."""
     monkeypatch.setattr(ann, "LANDMARKS", 1)
