@@ -3,8 +3,8 @@
 Bytes are mapped to printable characters (the usual byte-level table), the
 tokenizers library merges them by rank, and ids come back as flat arrays.
 Texts are first cut, at bytes, in places where the splitting pattern always
-cuts too: before a space between two non-space characters, and around line
-breaks.  A batch then holds few distinct chunks, each is tokenised once, and
+cuts too: before a space between two non-space characters, between a Latin letter
+and punctuation, and around line breaks.  A batch then holds few distinct chunks, each is tokenised once, and
 the ids of a text are gathered from its chunks.
 
 Token offsets follow from the byte lengths of the tokens; a token's character
@@ -22,10 +22,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from array import array
+from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,21 +125,27 @@ _INK[0x21:0x7F] = True
 _LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 _MARK = _INK & ~np.array([chr(b).isalnum() for b in range(256)])
 #: A chunk that the pattern leaves whole: letters, after a space or not.
-_ONE_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_ONE_WORD = "\\A ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+\\z"
+#: First byte of the letters U+00C0 to U+00FF, and the second bytes of them that are signs (U+00D7, U+00F7).
+_LATIN, _SIGNS = 0xC3, (0x97, 0xB7)
 
 
 def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sorted starts of chunks: text starts and places where the splitting pattern cuts whatever surrounds them."""
     n = len(data)
-    ink = _INK[data]
+    # ASCII ink and letters, and Latin ones of two bytes: ``opens`` at the first byte, ``ink`` and ``letter`` at the last
+    ink, letter, opens = _INK[data], _LETTER[data], _INK[data]
+    first = np.flatnonzero(data[:-1] == _LATIN)
+    first = first[~np.isin(data[first + 1], _SIGNS)]
+    opens[first] = ink[first + 1] = letter[first + 1] = True
     begin = np.zeros(n + 1, bool)
     space, line = data[1:-1] == 0x20, data[1:-1] == 0x0A
-    # between a letter and punctuation; before a space that follows or precedes ASCII ink; around a line break
+    # between a letter and punctuation; before a space that follows or precedes ink; around a line break
     # between ink (in a longer run of white space the pattern looks ahead)
-    begin[1 : n - 1] |= space & (ink[:-2] | ink[2:])
+    begin[1 : n - 1] |= space & (ink[:-2] | opens[2:])
     begin[1 : n - 1] |= line & ink[:-2]
-    begin[1:n] |= _MARK[data[1:]] & _LETTER[data[:-1]]
-    begin[2:n] |= line & ink[2:] & ink[:-2]
+    begin[1:n] |= _MARK[data[1:]] & letter[:-1]
+    begin[2:n] |= line & opens[2:] & ink[:-2]
     edges = off[:-1][off[:-1] < off[1:]]
     # a text's first and last byte see no neighbour of another text
     inner = np.union1d(off[1:], off[1:] - 1)
@@ -146,6 +154,18 @@ def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin[:n])
 
 
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of runs of ``count`` places, one run after another."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum()), dtype=np.int64) + np.repeat(start - before, count)
+
+
+def _flat(lists: list, ids) -> tuple[np.ndarray, np.ndarray]:
+    """(length of each list, all their ids)."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return counts, np.fromiter(ids, np.uint32, int(counts.sum()))
+
+
 class Encoder:
     """Encodes Arrow string arrays to flat ids; holds a tokenizer and the ids of chunks seen.
 
@@ -172,43 +192,52 @@ class Encoder:
         self.any_special = re.compile(b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))) if added else None
         self.last: list[str] = []
         self.seen: dict[str, int] = {}
-        self.flat, self.begin = array("I"), array("q", [0])
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _shrink(self) -> None:
-        seen, flat, begin = self.seen, self.flat, self.begin
-        self.seen, self.flat, self.begin = {}, array("I"), array("q", [0])
-        self._store(self.last, (flat[begin[k] : begin[k + 1]] for k in map(seen.__getitem__, self.last)))
+        place = np.fromiter(map(self.seen.__getitem__, self.last), np.int64, len(self.last))
+        count = self.begin[place + 1] - self.begin[place]
+        ids = self.flat[_runs(self.begin[place], count)]
+        self.seen, self.flat, self.begin = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self._store(self.last, [(count, ids)])
 
-    def _codes(self, chunks: list[str]) -> np.ndarray:
+    def _codes(self, distinct: pa.Array) -> np.ndarray:
         """Place of each chunk in the store; new chunks are tokenised and stored, long ones for this time only."""
-        if len(self.seen) + len(chunks) > self.MOST_CACHED or len(self.flat) > self.MOST_IDS:
+        if len(self.seen) + len(distinct) > self.MOST_CACHED or len(self.flat) > self.MOST_IDS:
             self._shrink()
-        new = [c for c in chunks if c not in self.seen]
-        whole = list(map(_ONE_WORD.fullmatch, new))
-        words = [c for c, w in zip(new, whole) if w]
-        tokenize = self.tokenizer.model.tokenize
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            # bytes to characters, all words at once; a zero byte parts them
-            data = np.frombuffer("\0".join(some).encode(), np.uint8)
-            shown = self.shown[data].tobytes().decode("utf-16-le").split(chr(self.shown[0]))
-            self._store(some, ([x.id for x in tokens] for tokens in map(tokenize, shown)))
-        rest = [c for c, w in zip(new, whole) if not w]
+        chunks = distinct.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.seen.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(place < 0)
+        whole = pc.match_substring_regex(distinct.take(pa.array(new)), _ONE_WORD).to_numpy(zero_copy_only=False).astype(bool)
+        words, rest = ([chunks[i] for i in new[w].tolist()] for w in (whole, ~whole))
+        place[new[whole]] = self._store(words, self._word_ids(words))
         if rest:
-            self._store(rest, (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)))
-        place = np.fromiter(map(self.seen.__getitem__, chunks), np.int64, len(chunks))
-        long = [c for c in new if len(c) > self.LONGEST]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            place[new[~whole]] = self._store(rest, [_flat(found, chain.from_iterable(found))])
+        long = [c for some in (words, rest) for c in some if len(c) > self.LONGEST]
         for c in long:
             del self.seen[c]
         self.last = [c for c in chunks if len(c) <= self.LONGEST] if long else chunks
         return place
 
-    def _store(self, chunks: list[str], each) -> None:
-        k, flat, begin = len(self.begin) - 1, self.flat, self.begin
-        for ids in each:
-            flat.extend(ids)
-            begin.append(len(flat))
-        self.seen.update(zip(chunks, range(k, k + len(chunks))))
+    def _word_ids(self, words: list[str]):
+        """(number of ids of each word, ids) for some thousands of words at a time."""
+        tokenize, get_id = self.tokenizer.model.tokenize, attrgetter("id")
+        for at in range(0, len(words), 20_000):
+            # bytes to characters, all words at once; a zero byte parts them
+            data = np.frombuffer("\0".join(words[at : at + 20_000]).encode(), np.uint8)
+            shown = self.shown[data].tobytes().decode("utf-16-le").split(chr(self.shown[0]))
+            found = list(map(tokenize, shown))
+            yield _flat(found, map(get_id, chain.from_iterable(found)))
+
+    def _store(self, chunks: list[str], parts) -> np.ndarray:
+        """Append chunks whose ids come in ``parts`` of (counts, ids); their places.  Arrays given out stay as they are."""
+        counts, ids = zip((np.zeros(0, np.int64), np.zeros(0, np.uint32)), *parts)
+        place = len(self.begin) - 1 + np.arange(len(chunks))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(counts))])
+        self.flat = np.concatenate([self.flat, *ids])
+        self.seen.update(zip(chunks, place.tolist()))
+        return place
 
     def slices(self, col: pa.Array):
         """(first row, end row, ids, id offsets, bytes, byte offsets) per slice of the array."""
@@ -254,16 +283,11 @@ class Encoder:
         ends = np.append(starts, len(data)).astype(np.int32)
         chunks = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
         coded = chunks.dictionary_encode()
-        which = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
-        # copies: the store may grow or be emptied while the result is in use
-        flat, begin = np.array(self.flat, np.uint32), np.array(self.begin, np.int64)
-        count = begin[which + 1] - begin[which]
-        total = np.cumsum(count)
-        first = total - count
-        pos = np.arange(int(total[-1]), dtype=np.int64) + np.repeat(begin[which] - first, count)
+        which = self._codes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        count = self.begin[which + 1] - self.begin[which]
+        through = np.concatenate([[0], np.cumsum(count)])
         at = np.searchsorted(starts, off[:-1])  # first chunk of each text
-        id_off = np.concatenate([first, total[-1:]])[np.append(at, len(starts))]
-        return flat[pos], id_off
+        return self.flat[_runs(self.begin[which], count)], through[np.append(at, len(starts))]
 
 
 def encoder(path: str, pattern: str | None = None) -> Encoder:

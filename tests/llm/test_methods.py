@@ -230,7 +230,7 @@ def test_bpe_odd_characters():
     import pyarrow as pa
 
     rng = np.random.default_rng(0)
-    alphabet = list(" \n\t\r\x0b\x1c\x85\u00a0\u2003\u3000ab'sré1½9.,!?\"Zß漢字🙂\u0301ก") + ["'ll", "'re", " the", "<|endoftext|>", "\n\n "]
+    alphabet = list(" \n\t\r\x0b\x1c\x85\u00a0\u2003\u3000ab'sréÀÿ×÷1½9.,!?\"Zß漢字🙂\u0301ก") + ["'ll", "'re", " the", "<|endoftext|>", "\n\n "]
     tests = ["".join(rng.choice(alphabet, rng.integers(0, 25))) for _ in range(5000)] + ["", " ", "a" * 5000, " " * 700 + "x"]
     tk = _tiktoken()
     for path in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json"):
