@@ -120,10 +120,16 @@ def token_bytes(tokenizer) -> list[bytes]:
     return out
 
 
-_INK = np.zeros(256, bool)
-_INK[0x21:0x7F] = True
-_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
-_MARK = _INK & ~np.array([chr(b).isalnum() for b in range(256)])
+def _kinds() -> bytes:
+    """For each byte: bit 0 ink, 1 letter, 2 space or line break, 3 punctuation, 4 ink that begins a character, 5 space, 6 line break."""
+    out = bytearray(256)
+    for b in range(0x21, 0x7F):
+        out[b] = 0b10001 | (0b10 if chr(b).isalpha() else 0 if chr(b).isdigit() else 0b1000)
+    out[0x20], out[0x0A] = 0b100100, 0b1000100
+    return bytes(out)
+
+
+_KINDS = _kinds()
 #: A chunk that the pattern leaves whole: letters, after a space or not.
 _ONE_WORD = "\\A ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+\\z"
 #: First byte of the letters U+00C0 to U+00FF, and the second bytes of them that are signs (U+00D7, U+00F7).
@@ -133,31 +139,32 @@ _LATIN, _SIGNS = 0xC3, (0x97, 0xB7)
 def chunk_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Sorted starts of chunks: text starts and places where the splitting pattern cuts whatever surrounds them."""
     n = len(data)
-    # ASCII ink and letters, and Latin ones of two bytes: ``opens`` at the first byte, ``ink`` and ``letter`` at the last
-    ink, letter, opens = _INK[data], _LETTER[data], _INK[data]
+    kind = np.frombuffer(bytearray(data).translate(_KINDS), np.uint8)
+    # Latin letters of two bytes begin at the first byte, and are ink and a letter at the last
     first = np.flatnonzero(data[:-1] == _LATIN)
     first = first[~np.isin(data[first + 1], _SIGNS)]
-    opens[first] = ink[first + 1] = letter[first + 1] = True
-    begin = np.zeros(n + 1, bool)
-    space, line = data[1:-1] == 0x20, data[1:-1] == 0x0A
-    # between a letter and punctuation; before a space that follows or precedes ink; around a line break
-    # between ink (in a longer run of white space the pattern looks ahead)
-    begin[1 : n - 1] |= space & (ink[:-2] | opens[2:])
-    begin[1 : n - 1] |= line & ink[:-2]
-    begin[1:n] |= _MARK[data[1:]] & letter[:-1]
-    begin[2:n] |= line & opens[2:] & ink[:-2]
+    kind[first] |= 0b10000
+    kind[first + 1] |= 0b11
+    begin = np.zeros(n + 1, np.uint8)
+    # before a space or line break that follows ink, and between a letter and punctuation; before a space that
+    # precedes ink; after a line break between ink (in a longer run of white space the pattern looks ahead)
+    begin[1:n] = kind[:-1] & (kind[1:] >> 2) & 0b11
+    begin[: n - 1] |= (kind[:-1] >> 1) & kind[1:] & 0b10000
+    begin[2:n] |= (kind[1:-1] >> 2) & kind[2:] & (kind[:-2] << 4) & 0b10000
     edges = off[:-1][off[:-1] < off[1:]]
     # a text's first and last byte see no neighbour of another text
     inner = np.union1d(off[1:], off[1:] - 1)
-    begin[inner[(inner >= 0) & (inner <= n)]] = False
-    begin[edges] = True
+    begin[inner[(inner >= 0) & (inner <= n)]] = 0
+    begin[edges] = 1
     return np.flatnonzero(begin[:n])
 
 
 def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of runs of ``count`` places, one run after another."""
     before = np.cumsum(count) - count
-    return np.arange(int(count.sum()), dtype=np.int64) + np.repeat(start - before, count)
+    out = np.repeat(start - before, count)
+    out += np.arange(len(out), dtype=out.dtype)
+    return out
 
 
 def _flat(lists: list, ids) -> tuple[np.ndarray, np.ndarray]:
@@ -221,14 +228,15 @@ class Encoder:
         return place
 
     def _word_ids(self, words: list[str]):
-        """(number of ids of each word, ids) for some thousands of words at a time."""
+        """(number of ids of each word, ids) for some hundreds of words at a time, whose tokens stay in the processor's cache."""
         tokenize, get_id = self.tokenizer.model.tokenize, attrgetter("id")
         for at in range(0, len(words), 20_000):
             # bytes to characters, all words at once; a zero byte parts them
             data = np.frombuffer("\0".join(words[at : at + 20_000]).encode(), np.uint8)
             shown = self.shown[data].tobytes().decode("utf-16-le").split(chr(self.shown[0]))
-            found = list(map(tokenize, shown))
-            yield _flat(found, map(get_id, chain.from_iterable(found)))
+            for k in range(0, len(shown), 250):
+                found = list(map(tokenize, shown[k : k + 250]))
+                yield _flat(found, map(get_id, chain.from_iterable(found)))
 
     def _store(self, chunks: list[str], parts) -> np.ndarray:
         """Append chunks whose ids come in ``parts`` of (counts, ids); their places.  Arrays given out stay as they are."""

@@ -231,16 +231,19 @@ def with_pieces(df: DataFrame, path: str, size: int, end_id: int, text_col: str
         for col in batches:
             offsets, piece, start, length, crc = [0], [], [], [], []
             for lo, hi, flat, id_off, _, _ in enc.slices(col):
-                for i in range(hi - lo):
-                    ids = np.append(flat[id_off[i] : id_off[i + 1]], np.uint32(end_id)).astype("<u4")
-                    n = len(ids)
+                # the end id after each text's ids
+                closed = np.insert(flat, id_off[1:], end_id).astype("<u4", copy=False)
+                ends = (id_off + np.arange(len(id_off))).tolist()
+                words = memoryview(closed)
+                for a, z in zip(ends, ends[1:]):
+                    n = z - a
                     at, k = 0, 0
                     while at < n:
                         stop = at + ((n - at) % size or size) if k == 0 else at + size
                         piece.append(k)
                         start.append(at)
                         length.append(stop - at)
-                        crc.append(zlib.crc32(ids[at:stop].tobytes()))
+                        crc.append(zlib.crc32(words[a + at : a + stop]))
                         at, k = stop, k + 1
                     offsets.append(len(piece))
             items = pa.StructArray.from_arrays(

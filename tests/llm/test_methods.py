@@ -567,6 +567,32 @@ def test_special_tokens_as_the_library_has_them(spark):
     assert all(got[i] == library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts))
 
 
+def test_few_tokens_are_alive_at_once():
+    """Words are tokenised by the hundred, so that their tokens stay in the processor's cache; ids are the library's."""
+    enc = bpe.Encoder(bpe.load_tokenizer(vocabularies.path("byte_bpe_50k.json")))
+    words = [f" {a}{b}é" for a in "abcdefghijklmnopqrstuvwxyz" for b in ("th", "Zq", "ness", "xyzzy") for a in (a, a * 2, a.upper(), a + "o", a + "ing", "re" + a, "un" + a, a + "ly")]
+    parts = list(enc._word_ids(words))
+    assert len(words) > 500 and max(len(counts) for counts, _ in parts) <= 250 and sum(len(counts) for counts, _ in parts) == len(words)
+    assert np.concatenate([ids for _, ids in parts]).tolist() == [i for w in words for i in enc.tokenizer.encode(w).ids]
+
+
+def test_pieces_of_texts_side_by_side(spark):
+    """Pieces and their checksums, with empty texts between others and texts of just a whole number of pieces."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    path = vocabularies.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["", "a", None, "", " the" * 7, " the" * 8, " the" * 15, " the" * 16, "<|endoftext|>", "日本 é×Ã." * 9, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    for r in packing.with_pieces(df, path, 8, 2).collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids + [2]
+        cuts = [0, *range(len(ids) % 8 or 8, len(ids) + 1, 8)]
+        want = [(k, a, z - a, zlib.crc32(np.array(ids[a:z], "<u4").tobytes())) for k, (a, z) in enumerate(zip(cuts, cuts[1:]))]
+        assert [tuple(p) for p in r["pieces"]] == want
+
+
 def test_store_of_chunks_is_bounded(monkeypatch):
     import pyarrow as pa
 
