@@ -18,11 +18,12 @@ of the longest vectors, and at its own node if it has one; each round joins the
 best nodes it has not expanded with their neighbours, scores those by inner
 product, and keeps the best of a beam, until every node kept is expanded:
 however large the table, no open node beats them.  The beam grows with the
-table: CHECKED queries are compared with all vectors in one scan, and while the
-search finds less than GOAL of their nearest, it goes on with a beam of twice
-the width.  That scan measures only; it adds nothing to a result.  The scores
-that are returned are inner products of the original vectors in double
-precision.
+table: CHECKED queries are compared with all vectors in one scan and searched
+first, and while that finds less than GOAL of their nearest, they are searched
+anew with a beam of twice the width.  The others are searched once, with the
+width found; no query's search looks at another's.  That scan measures only; it
+adds nothing to a result.  The scores that are returned are inner products of
+the original vectors in double precision.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do those of another length than most; equal rows
@@ -49,6 +50,7 @@ ROUNDS = 7  # at most; fewer where a round finds next to nothing new
 LANDMARKS = 512  # bounded sample, and as many of the longest; a byte a component each is broadcast
 BEAM = 128  # nodes kept per query, to begin with
 EXPAND = 24  # nodes of a query that one round of the search expands, for a beam of BEAM
+FIRST = 3  # nodes that the first round expands, when the best are still far; doubled each round up to EXPAND
 GOAL = 0.95  # share of the nearest of the checked queries that the search must find
 CHECKED = 128  # queries, by smallest hash, that are compared with all vectors; their vectors are broadcast
 PLACES = 128  # meeting places (or nodes) that one task call handles
@@ -236,8 +238,8 @@ def _landmark_udf(marks):
 def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, enough=None) -> DataFrame:
     """(query, node): the best nodes (node, code, length) found for each query (query, code, own: its node or null).
 
-    While ``enough``, a function of that result, is false, the beam is widened and the search goes on, as long as
-    a query has more nodes than its beam holds.
+    While ``enough``, a function of that result for the checked queries, is false, these are searched with a wider
+    beam, as long as one of them has more nodes than its beam holds; the others are searched with the last width only.
     """
     spark = nodes.sparkSession
     # bounded samples: LANDMARKS rows each; few neighbours lead to the longest vectors, which many queries want
@@ -247,8 +249,6 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, enough
     if not marks:
         return queries.select("query", F.col("own").alias("node")).limit(0)
     seed = _landmark_udf(spark.sparkContext.broadcast(([r["node"] for r in marks], [bytes(r["code"]) for r in marks])))
-    start = queries.select("query", F.explode(seed("code")).alias("m")).select("query", "m.*")
-    mine = queries.where("own is not null").select("query", F.col("own").alias("node"), F.lit(float("inf")).cast("float").alias("sim"))
     w = Window.partitionBy("query").orderBy(F.col("sim").desc(), "node")
 
     def beam(rows: DataFrame, width: int) -> DataFrame:
@@ -260,29 +260,44 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, enough
     # both stay dealt by node over the rounds; a lost part is dealt again from its checkpoint
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ways, codes = (t.repartition(parts, "node").persist(StorageLevel.DISK_ONLY) for t in (ways, nodes.select("node", "code")))
-    width = BEAM
-    state = beam(start.union(mine).withColumn("done", F.lit(0)), width)
-    while True:
+
+    def search(asked: DataFrame, width: int) -> DataFrame:
+        start = asked.select("query", F.explode(seed("code")).alias("m")).select("query", "m.*")
+        mine = asked.where("own is not null").select("query", F.col("own").alias("node"), F.lit(float("inf")).cast("float").alias("sim"))
+        state = beam(start.union(mine).withColumn("done", F.lit(0)), width)
+        most = FIRST
         # ends: each round expands a node of every open query, and one that leaves the beam never comes back
         while not state.where("done = 0").isEmpty():
-            open_rows = state.where("done = 0").withColumn("r", F.row_number().over(w)).where(F.col("r") <= EXPAND * width // BEAM).drop("r")
+            open_rows = state.where("done = 0").withColumn("r", F.row_number().over(w)).where(F.col("r") <= most).drop("r")
+            most = min(2 * most, max(EXPAND * width // BEAM, FIRST))
             found = open_rows.join(ways, "node").select("query", F.explode("nbrs").alias("node")).distinct()
             found = found.join(state.select("query", "node"), ["query", "node"], "left_anti")
-            scored = found.join(codes, "node").join(queries.select("query", F.col("code").alias("qcode")), "query")
+            scored = found.join(codes, "node").join(asked.select("query", F.col("code").alias("qcode")), "query")
             scored = scored.select("query", "node", _near()("code", "qcode").alias("sim"), F.lit(0).alias("done"))
             opened = open_rows.select("query", "node", "sim", F.lit(1).alias("done"))
             state = beam(state.select("query", "node", "sim", "done").union(opened).union(scored), width)
-        result = state.select("query", "node")
-        if enough is None or enough(result) or result.groupBy("query").count().where(F.col("count") >= width).isEmpty():
-            break
-        width *= 2
-        # what a narrower beam dropped is found again from the nodes that it kept
-        state = beam(start.select("query", "node", "sim").union(state.select("query", "node", "sim")).withColumn("done", F.lit(0)), width)
+        return state.select("query", "node")
+
+    width = BEAM
+    if enough is None:
+        result = search(queries, width)
+    else:
+        checked = cut(_checked(queries))
+        result = search(checked, width)
+        while not enough(result) and not result.groupBy("query").count().where(F.col("count") >= width).isEmpty():
+            width *= 2
+            result = search(checked, width)
+        others = cut(queries.join(checked.select("query"), "query", "left_anti"))
+        result = result.union(search(others, width))
     for t in (ways, codes):
         t.unpersist()
     return result
 
 
+def _checked(queries: DataFrame) -> DataFrame:
+    return queries.orderBy(F.xxhash64("query"), "query").limit(CHECKED)
+
+
 def _dot(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
@@ -292,7 +307,7 @@ def _checker(queries: DataFrame, classes: DataFrame, k: int):
 
     Counted by score, so that ties do not matter: how many of the nodes found are as near as the k-th nearest.
     """
-    some = queries.select("query").orderBy(F.xxhash64("query"), "query").limit(CHECKED)
+    some = _checked(queries.select("query"))
     some = cut(some.join(classes.select(F.col("node").alias("query"), F.col("v").alias("qv")), "query"))
     rows = some.collect()
     if not rows:

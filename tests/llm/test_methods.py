@@ -473,6 +473,26 @@ def test_beam_grows_until_the_checked_queries_are_answered(spark, monkeypatch):
     assert widths == [24, 48, 96] and enough(found)
 
 
+def test_only_checked_queries_are_searched_again(spark, monkeypatch):
+    """Each width is tried on the checked queries; the others are searched once, with the last width."""
+    monkeypatch.setattr(ann, "BEAM", 24)
+    monkeypatch.setattr(ann, "CHECKED", 5)
+    x = np.random.default_rng(4).standard_normal((600, 24))
+    classes = ann.cut(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>"))
+    nodes = ann.cut(classes.select("node", ann._coder(10.0)("v").alias("code"), F.sqrt(ann._dot("v", "v")).alias("length")))
+    q = ann.cut(nodes.where("node % 20 = 0").select(F.col("node").alias("query"), "code", F.col("node").alias("own")))
+    tried = []
+
+    def twice(found):
+        counts = {r["query"]: r["count"] for r in found.groupBy("query").count().collect()}
+        tried.append((len(counts), max(counts.values())))
+        return len(tried) == 2
+
+    found = ann.greedy_search(q, nodes, ann.build_graph(nodes), twice).groupBy("query").agg(F.count("node").alias("n"), F.countDistinct("node").alias("d")).collect()
+    assert tried == [(5, 24), (5, 48)]
+    assert len(found) == 30 and all(r["n"] == r["d"] == 48 for r in found)
+
+
 def test_search_goes_on_while_open_nodes_are_left(spark, monkeypatch):
     """A path of neighbours: the best nodes are more rounds away from the landmarks than any fixed few."""
     monkeypatch.setattr(ann, "LANDMARKS", 1)
