@@ -528,7 +528,7 @@ def test_pipeline_stages(spark, texts, labels, scratch):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_owners_and_repositories_are_counted_apart(spark):
