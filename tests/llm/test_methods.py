@@ -509,6 +509,37 @@ def test_search_goes_on_while_open_nodes_are_left(spark, monkeypatch):
     assert all(found[q] >= set(sorted(range(n), key=lambda i: abs(i - q))[:20]) for q in (0, n // 2, n - 1))
 
 
+def test_size_that_the_planner_sees_stays_small(spark, monkeypatch):
+    """A search of many rounds: the planner's size of the result is no product over the rounds, which filled the driver."""
+    monkeypatch.setattr(ann, "LANDMARKS", 1)
+    n = 60
+    t = np.linspace(0, np.pi, n)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))], 1.0) for i, a in enumerate(t)]
+    nodes = ann.cut(spark.createDataFrame(rows, "node long, v array<double>, length double").select("node", ann._coder(1.0)("v").alias("code"), "length"))
+    graph = spark.createDataFrame([(i, j, 0.0) for i in range(n) for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < n], "node long, nbr long, sim float")
+    asked = nodes.select(F.col("node").alias("query"), "code", F.lit(None).cast("long").alias("own")).where("query in (0, 30, 59)")
+    found = ann.greedy_search(asked, nodes, graph)
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 1000
+
+
+def test_nodes_left_out_are_none_of_the_best(spark):
+    """What the codes rule out is not among the best by the vectors themselves, for vectors of many lengths."""
+    x = np.random.default_rng(8).standard_normal((500, 16)) * np.random.default_rng(9).lognormal(0, 1, 500)[:, None]
+    longest = np.linalg.norm(x, axis=1).max()
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>")
+    nodes = ann.cut(nodes.select("node", ann._coder(float(longest))("v").alias("code"), F.sqrt(ann._dot("v", "v")).alias("length")))
+    asked = ann.cut(nodes.where("node % 10 = 0").select(F.col("node").alias("query"), "code", F.col("node").alias("own")))
+    graph = ann.cut(ann.build_graph(nodes))
+    whole, some = ({}, {})
+    for out, best in ((whole, None), (some, 21)):
+        for r in ann.greedy_search(asked, nodes, graph, best=best).collect():
+            out.setdefault(r["query"], set()).add(r["node"])
+    assert sum(map(len, some.values())) < sum(map(len, whole.values()))
+    for q, found in whole.items():
+        others = sorted(found - {q}, key=lambda i: -(x[i] @ x[q]))
+        assert some[q] <= found and some[q] >= {q, *others[:21]}
+
+
 def test_pipeline_stages(spark, texts, labels, scratch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, ids = docs.columns, {}
