@@ -44,9 +44,13 @@ def drifting_files(spark: SparkSession, files: Sequence[str], schema: StructType
 
     Footers are read by Spark, many files in one job; a set with such a file is
     halved until the file stands alone, so few drifting files cost few jobs.
+    Names that differ in case only are kept apart: merged without case, a file's
+    would be lost if another file came first.
     """
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.caseSensitive", "true")
     try:
-        stored = stored_schema(spark, *files) if files else None
+        stored = stored_schema(apart, *files) if files else None
         if stored is not None:
             check_schema(schema, stored)
         return []

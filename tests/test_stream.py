@@ -170,6 +170,16 @@ def test_sink_and_shared_directories_are_kept_apart(spark, scratch):
     assert plain(spark, f"{scratch}/table") == [0, 1, 2, 9, 50]
 
 
+def test_a_name_in_another_case_is_found_in_any_order(spark, scratch):
+    """Merged without case, the name of the file that came first would hide the other's."""
+    files = []
+    for folder, name in (("a", "loan_id"), ("b", "Loan_ID"), ("c", "loan_id")):
+        spark.createDataFrame([(1,)], f"{name} long").coalesce(1).write.parquet(f"{scratch}/{folder}")
+        files += glob.glob(f"{scratch}/{folder}/*.parquet")
+    schema = spark.createDataFrame([], "loan_id long").schema
+    assert [drifting_files(spark, f, schema) for f in (files[:2], files[1:], files)] == [[files[1]]] * 3
+
+
 def test_files_of_another_schema_are_quarantined(spark, scratch):
     inbox, table, ckpt = f"{scratch}/in box", f"{scratch}/table", f"{scratch}/ckpt"
     drop(spark, inbox, range(4))
