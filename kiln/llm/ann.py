@@ -66,7 +66,7 @@ GOAL = 0.95  # share of the nearest of the checked queries that the search must
 CHECKED = 128  # queries, by smallest hash, that are compared with all vectors; their vectors are broadcast
 PLACES = 128  # meeting places that are compared at once
 PART_BYTES = 300_000  # of codes of the nodes that live in a part; K + REVERSE times as many meet there
-BEAM_ROWS = 1 << 20  # nodes in the beams of the queries of a slot
+BEAM_ROWS = 1 << 18  # nodes in the beams of the queries of a slot
 HEAD = 8  # bytes of a code before its components
 
 
